@@ -19,25 +19,22 @@ def tokens(line: Column, separator: str = " ") -> Column:
         kept = F.rtrim(line, F.lit(separator))
     else:
         kept = F.regexp_replace(line, f"(?:{pattern})+\\z", "")
-    return (
-        F.when(F.instr(line, separator) == 0, F.array(line))
-        .when(kept == "", F.array().cast("array<string>"))
-        .otherwise(F.split(kept, pattern, -1))
-    )
+    trimmed = F.when(kept == "", F.array().cast("array<string>")).otherwise(F.split(kept, pattern, -1))
+    return F.when(line.endswith(separator), trimmed).otherwise(F.split(line, pattern, -1))
 
 
 def lines(text: Column) -> Column:
     """The lines of a text as a file reader yields them.
 
     LF or CRLF ends a line; an end at the very end of the text starts no further line; an empty
-    text has no line. The CRLF pattern is used only where a CR occurs: a one-character separator
-    is split without a regular expression.
+    text has no line. CRs are looked for only in texts that have one.
     """
-    body = F.when(text.endswith("\n"), F.left(text, F.length(text) - 1)).otherwise(text)
+    ended = F.when(text.endswith("\n"), F.left(text, F.length(text) - 1)).otherwise(text)
+    with_cr = F.transform(F.split(ended, "\n", -1), lambda v: F.regexp_replace(v, r"\r\z", ""))
     return (
         F.when(text == "", F.array().cast("array<string>"))
-        .when(F.instr(text, "\r") == 0, F.split(body, "\n", -1))
-        .otherwise(F.transform(F.split(body, "\n", -1), lambda v: F.regexp_replace(v, r"\r\z", "")))
+        .when(text.contains("\r"), with_cr)
+        .otherwise(F.split(ended, "\n", -1))
     )
 
 

@@ -11,7 +11,6 @@ from tidemark.functions import times
 from tidemark.operators import running
 
 HOUR_US = 3_600_000_000
-DAY_BLOCKS = 24
 NEVER = 2**63 - 1
 
 
@@ -21,14 +20,14 @@ def gated(
     key: str,
     ts: str = "ts",
     duration_ms: str = "duration_ms",
-    widths: Sequence[int] = (HOUR_US, DAY_BLOCKS),
+    widths: Sequence[int] = (HOUR_US,),
 ) -> DataFrame:
     """The readings at a time `t` for which some switch of their key has `at <= t < at + duration`.
 
     Overlapping switches join up and a later one never shortens an earlier one, so a reading
     passes when the latest end among the switches up to its time lies after it. One ordered pass
     over both inputs finds that end; readings are never paired with switches, and a busy key is
-    cut into blocks of time (`widths`: microseconds, then blocks).
+    cut into blocks of time (`widths` in microseconds, see `running`).
     """
     at = times.to_micros(F.col(ts))
     columns = readings.columns

@@ -20,7 +20,8 @@ def top(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, ou
     exchange, so a large group never travels whole.
     """
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(window).cast("bigint")).where(F.col(out) <= n)
+    first = df.withColumn(out, F.row_number().over(window)).where(F.col(out) <= n)
+    return first.withColumn(out, F.col(out).cast("bigint"))
 
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:

@@ -27,14 +27,20 @@ def block_of(position: Column, width: int) -> Column:
 
 
 class Combine(NamedTuple):
-    """How values add up, and how what came before merges with what is local."""
+    """How values combine inside a window and in a group, and what came before with what is local."""
 
-    aggregate: Callable[[Column], Column]
+    local: Callable[[Column], Column]
+    total: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
 
 
-SUM = Combine(F.sum, lambda carry, local: F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0)))
-MAX = Combine(F.max, F.greatest)
+def _plus(carry: Column, local: Column) -> Column:
+    return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
+
+
+SUM = Combine(F.sum, F.sum, _plus)
+MAX = Combine(F.max, F.max, F.greatest)
+COUNT = Combine(lambda value: F.row_number(), F.count, _plus)
 
 
 def running(
@@ -46,31 +52,47 @@ def running(
     combine: Combine = SUM,
     position: Column | None = None,
     widths: Sequence[int] = (),
-    inclusive: bool = True,
 ) -> DataFrame:
-    """Add `out`: `value` combined over the rows of the key up to this one (or before it).
+    """Add `out`: `value` combined over the rows of the key up to this one.
 
-    `position` is an integer expression that never decreases along `order`; `widths` are the
-    block widths, finest first: the first in units of `position`, each further one in blocks of
-    the one before. Without widths each key is one window. A null is no key: its rows are dropped.
+    COUNT counts rows. `position` is an integer expression that never decreases along `order`;
+    `widths` are the block widths, finest first: the first in units of `position`, each further one
+    in blocks of the one before. Without widths each key is one window. A null is no key: its rows
+    are dropped.
     """
     df = df.dropna(subset=list(keys))
-    frame_end = Window.currentRow if inclusive else -1
+    window = Window.partitionBy(*keys).orderBy(*order)
+    if combine is not COUNT:
+        window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not widths:
+        return df.withColumn(out, combine.local(value).over(window).cast("bigint"))
+    rows = df.withColumn("_block", _block(position, widths[0]))
+    totals = rows.groupBy(*keys, "_block").agg(combine.total(value).alias("_total"))
+    carries = _before(totals, keys, "_total", SUM if combine is COUNT else combine, widths[1:])
+    carries = carries.where(F.col("_carry").isNotNull())
+    window = Window.partitionBy(*keys, "_block").orderBy(*order)
+    if combine is not COUNT:
+        window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn(out, combine.local(value).over(window))
+    merged = combine.merge(F.col("_carry"), F.col(out)).cast("bigint")
+    return local.join(carries, [*keys, "_block"], "left").withColumn(out, merged).drop("_block", "_carry")
+
+
+def _before(totals: DataFrame, keys: Sequence[str], total: str, combine: Combine, widths: Sequence[int]) -> DataFrame:
+    """`keys, _block, _carry`: the totals of the key's earlier blocks combined, null for its first."""
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     if not widths:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-        return df.withColumn(out, combine.aggregate(value).over(window))
-
-    width, *wider = widths
-    block, carry, total = (f"_{name}{len(widths)}" for name in ("block", "carry", "total"))
-    rows = df.withColumn(block, F.coalesce(block_of(position, width), F.lit(FIRST)))
-    totals = rows.groupBy(*keys, block).agg(combine.aggregate(value).alias(total))
-    carries = running(
-        totals, keys, [block], F.col(total), carry, combine, F.col(block), wider, inclusive=False
-    ).drop(total)
-    window = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-    local = rows.withColumn(out, combine.aggregate(value).over(window))
-    return (
-        local.join(carries, [*keys, block])
-        .withColumn(out, combine.merge(F.col(carry), F.col(out)))
-        .drop(block, carry)
+        carry = combine.local(F.col(total)).over(earlier.partitionBy(*keys))
+        return totals.select(*keys, "_block", carry.alias("_carry"))
+    rows = totals.withColumn("_wide", _block(F.col("_block"), widths[0]))
+    wide = rows.groupBy(*keys, F.col("_wide").alias("_block")).agg(combine.total(F.col(total)).alias(total))
+    carries = _before(wide, keys, total, combine, widths[1:]).withColumnsRenamed({"_block": "_wide", "_carry": "_far"})
+    near = rows.select(
+        *keys, "_block", "_wide", combine.local(F.col(total)).over(earlier.partitionBy(*keys, "_wide")).alias("_near")
     )
+    merged = combine.merge(F.col("_far"), F.col("_near")).alias("_carry")
+    return near.join(carries, [*keys, "_wide"]).select(*keys, "_block", merged)
+
+
+def _block(position: Column, width: int) -> Column:
+    return F.coalesce(block_of(position, width), F.lit(FIRST))

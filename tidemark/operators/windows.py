@@ -68,7 +68,10 @@ def sliding_counts(
         F.struct(opens.alias("at"), F.col("_n").alias("d")),
         F.struct(closes.alias("at"), (-F.col("_n")).alias("d")),
     )
-    spread = pieces.select(*keys, BLOCK, F.explode(change).alias("_c")).repartition(*keys, BLOCK)
+    # A fixed number of partitions: each row stands for many windows, so a count chosen from the
+    # bytes of this exchange would put too many of them into one task.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pieces.select(*keys, BLOCK, F.explode(change).alias("_c")).repartition(partitions, *keys, BLOCK)
     changes = spread.groupBy(*keys, BLOCK, F.col("_c.at").alias("_at")).agg(F.sum("_c.d").alias("_d"))
     by_time = Window.partitionBy(*keys, BLOCK).orderBy("_at")
     steps = changes.select(

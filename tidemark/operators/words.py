@@ -53,7 +53,7 @@ def running_counts(
     Frequent words are in every block of lines, so their rows must not meet in one task: give a
     `position` along the order and block `widths`, see `running.running`.
     """
-    return running.running(words, ["word"], order, F.lit(1), out, running.SUM, position, widths)
+    return running.running(words, ["word"], order, F.lit(1), out, running.COUNT, position, widths)
 
 
 def short(column: str = "word", limit: int = MAX_LENGTH) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.operators import ranking, windows
 from tidemark.plans import tables
-from tidemark.sources import records
+from tidemark.sources import lines, records
 
 # Window and slide.
 SIZE, SLIDE = "10 minutes", "5 seconds"
@@ -16,7 +16,8 @@ SIZE, SLIDE = "10 minutes", "5 seconds"
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The events as access log lines: every item is a page, and every tenth item has no URL."""
-    events = tables.load(spark, folder, "events")
+    events = tables.load(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    events = lines.spread(events, "event_id")
     address = F.format_string("10.0.%d.%d", F.floor(F.col("user_id") / 256), F.pmod("user_id", F.lit(256)))
     url = F.when(F.pmod(tables.item_key(), F.lit(10)) != 0, F.concat(F.lit("/item/"), tables.item_key()))
     line = F.concat_ws(
