@@ -39,7 +39,7 @@ def gated(
         F.col(key).cast(readings.schema[key].dataType).alias(key),
         at.alias("_at"),
         F.lit(0).alias("_kind"),
-        _end(at, F.col(duration_ms)).alias("_end"),
+        open_end(at, F.col(duration_ms)).alias("_end"),
         F.lit(None).cast(marked.schema["_row"].dataType).alias("_row"),
     )
     timeline = running.running(
@@ -56,7 +56,7 @@ def gated(
     return timeline.where(passing).select("_row.*")
 
 
-def _end(at: Column, duration_ms: Column) -> Column:
+def open_end(at: Column, duration_ms: Column) -> Column:
     """The end of a switch in microseconds; one too long to count never ends."""
     end = F.try_add(at, F.try_multiply(duration_ms, F.lit(1000)))
     return F.when(duration_ms.isNull() | (duration_ms <= 0), at).otherwise(F.coalesce(end, F.lit(NEVER)))

@@ -66,8 +66,9 @@ def pairs(
     Matches may overlap: three such events in a row give two.
     """
     marked = events.withColumn("_first", first).withColumn("_second", second)
-    matched = followed(marked, key, ts, tie, within, block)
-    return matched.where(F.col("_first") & F.col("next._second")).drop("_first", "_second")
+    matched = followed(marked, key, ts, tie, within, block).where(F.col("_first") & F.col("next._second"))
+    second_event = F.struct(*[F.col(f"next.{c}").alias(c) for c in events.columns])
+    return matched.select(*events.columns, second_event.alias("next"))
 
 
 def sequence_or_timeout(
