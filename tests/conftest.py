@@ -1,8 +1,7 @@
 import os
-from datetime import datetime
+import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.session import session
 
@@ -14,7 +13,7 @@ def spark():
         "local[4]",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
         spark__driver__memory="4g",
     )
     spark.sparkContext.setLogLevel("OFF")
@@ -45,6 +44,24 @@ def replay(spark, tmp_path):
     return start
 
 
+@pytest.fixture
+def watch(spark, tmp_path):
+    """Rows of a stream that goes by the clock and so never ends: run until `enough` are out."""
+
+    def run(stream, enough, seconds=120):
+        query = (
+            stream.writeStream.format("memory").queryName("watched")
+            .option("checkpointLocation", str(tmp_path / "watched")).start()
+        )
+        deadline = time.monotonic() + seconds
+        while time.monotonic() < deadline and query.isActive and spark.table("watched").count() < enough:
+            time.sleep(0.5)
+        query.stop()
+        return [tuple(row) for row in spark.table("watched").collect()]
+
+    return run
+
+
 @pytest.fixture
 def drain(spark, tmp_path):
     """All rows a stream puts out over the files there are, as tuples."""
@@ -65,14 +82,7 @@ def drain(spark, tmp_path):
     return run
 
 
-def at(seconds: float) -> datetime:
-    return datetime.fromtimestamp(1_558_430_840 + seconds, tz=None)
-
-
 def on(df, *columns):
     """Rows as sorted tuples of the columns."""
     return sorted(tuple(row) for row in df.select(*columns).collect())
 
-
-def epoch(column="ts"):
-    return F.unix_micros(F.col(column).cast("timestamp"))

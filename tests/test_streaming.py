@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 from conftest import on
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators import gating, patterns, ranking, windows, words
@@ -141,13 +142,68 @@ def test_gate_by_event_time(spark, replay, drain):
     assert sorted(got) == want
 
 
-def test_gate_by_clock(spark, replay, drain):
+def test_gate_by_clock(spark, replay, watch):
     schema = "kind string, key string, n bigint"
     parts = [[("reading", "a", 1)], [("switch", "a", 600_000)], [("reading", "a", 2), ("reading", "b", 3)]]
     stream = replay(parts, schema)
     readings = stream.where("kind = 'reading'").select("key", "n")
     switches = stream.where("kind = 'switch'").select("key", F.col("n").alias("duration_ms"))
-    assert drain(stream_gating.gated_by_clock(readings, switches, "key")) == [("a", 2)]
+    assert watch(stream_gating.gated_by_clock(readings, switches, "key"), 1) == [("a", 2)]
+
+
+class Held:
+    """One state value or timer set of a key, for running a processor by hand."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_clock_gate_extends_and_expires():
+    state, gate = Held(), stream_gating.ProcessingTimeGate("key", ["n"])
+    gate.init(state)
+
+    def at(now, *rows):
+        rows = [Row(key="a", _kind=kind, _duration=value, n=value) for kind, value in rows]
+        return [r.n for r in gate.handleInputRows(("a",), iter(rows), Clock(now))]
+
+    switch, reading = stream_gating.SWITCH, stream_gating.READING
+    assert at(1000, (reading, 1)) == []
+    assert at(1000, (switch, 10), (reading, 2)) == [2]
+    assert state.timers == {1010}
+    assert at(1005, (switch, 2), (reading, 3)) == [3]
+    assert state.timers == {1010}
+    assert at(1005, (switch, 10)) == []
+    assert state.timers == {1015}
+    assert at(1014, (reading, 4)) == [4]
+    assert at(1015, (reading, 5)) == []
+    list(gate.handleExpiredTimer(("a",), Clock(1016), None))
+    assert state.value is None
 
 
 def test_outputs_of_one_pass(spark, replay, tmp_path):

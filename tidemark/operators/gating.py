@@ -21,6 +21,7 @@ def gated(
     ts: str = "ts",
     duration_ms: str = "duration_ms",
     widths: Sequence[int] = (HOUR_US,),
+    few_keys: int = 0,
 ) -> DataFrame:
     """The readings at a time `t` for which some switch of their key has `at <= t < at + duration`.
 
@@ -28,7 +29,15 @@ def gated(
     passes when the latest end among the switches up to its time lies after it. One ordered pass
     over both inputs finds that end; readings are never paired with switches, and a busy key is
     cut into blocks of time (`widths` in microseconds, see `running`).
+
+    Where switches name few of the keys, set `few_keys`: if they name no more than that, readings
+    of other keys are dropped in the scan's own tasks instead of travelling. The count is checked
+    first, and a longer list is not broadcast.
     """
+    if few_keys:
+        named = switches.select(F.col(key).cast(readings.schema[key].dataType).alias(key)).distinct()
+        if named.limit(few_keys + 1).count() <= few_keys:
+            readings = readings.join(F.broadcast(named), key, "left_semi")
     at = times.to_micros(F.col(ts))
     columns = readings.columns
     marked = readings.select(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +30,9 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
     """All rows of each group, numbered from 1 in `order`.
 
     Rows are range-partitioned by group and order together, so one large group is cut over many
-    tasks, and numbered inside each task by place. A task holds at most one group begun before it;
-    counts per task and group tell how many of its rows came before. The placement is written out
-    first, since task numbers may change when a lost task runs again.
+    tasks, and numbered inside each task by place. Counts per task and group tell how many rows of
+    a group lie in the tasks before. The placement is written out first, since task numbers may
+    change when a lost task runs again; what `df` reads is read once.
     """
     place = [*[F.col(c) for c in group], *order]
     placed = durable(
@@ -47,12 +49,10 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
         FROM,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(BEFORE),
     )
-    same = F.col(PART) == F.col("_p")
-    for i, c in enumerate(group):
-        same &= placed[c].eqNullSafe(F.col(f"_g{i}"))
-    ranked = placed.join(starts, same).select(*placed.columns, FROM, BEFORE)
+    same = reduce(and_, [placed[c].eqNullSafe(starts[f"_g{i}"]) for i, c in enumerate(group)])
+    ranked = placed.join(starts, (placed[PART] == starts["_p"]) & same)
     rank = F.col(INDEX) - F.col(FROM) + F.col(BEFORE) + F.lit(1)
-    return ranked.withColumn(out, rank).drop(PART, INDEX, FROM, BEFORE)
+    return ranked.select(*df.columns, rank.alias(out))
 
 
 # The wording of the reports.
