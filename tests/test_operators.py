@@ -176,7 +176,8 @@ def test_gate_bounds(spark):
 
 
 @pytest.mark.parametrize(
-    "options", [{"widths": ()}, {"widths": (1_000_000,)}, {"widths": (500_000, 4)}, {"few_keys": 10}, {"few_keys": 2}]
+    "options",
+    [{}, {"block": "1 second"}, {"block": "1 second", "max_copies": 2}, {"max_copies": 0}, {"few_keys": 10}, {"few_keys": 2}],
 )
 def test_gate_against_brute_force(spark, options):
     draw = random.Random(6)

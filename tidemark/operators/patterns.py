@@ -26,28 +26,34 @@ def followed(
     tie: Sequence[str],
     within: times.Span,
     block: times.Span | None = None,
+    shown: Sequence[str] | None = None,
     out: str = "next",
 ) -> DataFrame:
     """Every event with the struct of the next event of its key, or null if none comes in time.
 
-    Ties in `ts` are ordered by `tie`. A block is eight bounds wide unless given; any width gives
-    the same result, narrower ones split a busy key further at the price of more copies.
+    Ties in `ts` are ordered by `tie`; `shown` are the next event's columns to carry, all of them
+    unless given. A block is eight bounds wide unless given; any width gives the same result,
+    narrower ones split a busy key further at the price of more copies.
     """
     bound = times.span_micros(within)
     width = times.span_micros(block) if block else 8 * bound
     at = times.to_micros(F.col(ts))
-    own = block_of(at, width)
-    shown_from = block_of(at - F.lit(bound - 1), width)
-    placed = events.where(F.col(ts).isNotNull()).select(
-        *events.columns, own.alias("_own"), F.explode(F.sequence(shown_from, own)).alias("_block")
+    own, shown_from = block_of(F.col("_at"), width), block_of(F.col("_at") - F.lit(bound - 1), width)
+    blocks = F.when(F.col("_from") == F.col("_own"), F.array("_own")).otherwise(F.sequence("_from", "_own"))
+    placed = (
+        events.where(F.col(ts).isNotNull())
+        .withColumn("_at", at)
+        .withColumns({"_own": own, "_from": shown_from})
+        .select(*events.columns, "_at", "_own", F.explode(blocks).alias("_block"))
     )
-    order = Window.partitionBy(key, "_block").orderBy(ts, *tie)
-    nearest = placed.withColumn(out, F.lead(F.struct(*events.columns)).over(order))
-    in_time = times.to_micros(F.col(f"{out}.{ts}")) - times.to_micros(F.col(ts)) < bound
+    order = Window.partitionBy(key, "_block").orderBy("_at", *tie)
+    carried = F.struct(*[F.col(c) for c in (events.columns if shown is None else shown)])
+    nearest = placed.withColumns({out: F.lead(carried).over(order), "_next_at": F.lead("_at").over(order)})
+    in_time = F.col("_next_at") - F.col("_at") < bound
     return (
         nearest.where(F.col("_own") == F.col("_block"))
         .withColumn(out, F.when(in_time, F.col(out)))
-        .drop("_own", "_block")
+        .select(*events.columns, out)
     )
 
 
@@ -88,7 +94,7 @@ def sequence_or_timeout(
     The table is the whole input, so an event without a successor times out.
     """
     marked = events.withColumn("_first", first).withColumn("_second", second)
-    after = followed(marked, key, ts, tie, within, block)
+    after = followed(marked, key, ts, tie, within, block, ["_second"])
     result = F.when(F.col("next").isNull(), TIMEOUT).when(F.col("next._second"), SUCCESS)
     return (
         after.where("_first")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import Row
@@ -10,6 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 AT = "_at"
+# Rows moved to state at a time.
+CHUNK = 1000
 
 
 class InOrder(StatefulProcessor):
@@ -30,10 +33,10 @@ class InOrder(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.held)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        arrived = [tuple(row[name] for name in self.names) for row in rows]
-        if arrived:
-            self.waiting.appendList(arrived)
-            self._wake_for(arrived)
+        arrived = (tuple(row[name] for name in self.names) for row in rows)
+        while some := list(islice(arrived, CHUNK)):
+            self.waiting.appendList(some)
+            self._wake_for(some)
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
