@@ -18,7 +18,10 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The events as access log lines: every item is a page, and every tenth item has no URL."""
     events = tables.load(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "props")
     events = lines.spread(events, "event_id")
-    address = F.format_string("10.0.%d.%d", F.floor(F.col("user_id") / 256), F.pmod("user_id", F.lit(256)))
+    user = F.col("user_id")
+    address = F.concat(
+        F.lit("10.0."), F.shiftright(user, 8).cast("string"), F.lit("."), F.pmod(user, F.lit(256)).cast("string")
+    )
     url = F.when(F.pmod(tables.item_key(), F.lit(10)) != 0, F.concat(F.lit("/item/"), tables.item_key()))
     line = F.concat_ws(
         " ",

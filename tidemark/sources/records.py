@@ -59,4 +59,4 @@ def parse_access_log(lines: DataFrame, column: str = "value", strict: bool = Tru
         field(5).alias("method"),
         field(6).alias("url"),
     )
-    return parsed.where((F.col("url") != "") | F.col("url").isNull())
+    return parsed.where(~F.col("url").eqNullSafe(""))

@@ -60,21 +60,22 @@ class ProcessingTimeGate(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
+        state = self.until.get()
+        before = until = state[0] if state else 0
         for row in rows:
-            state = self.until.get()
-            until = state[0] if state else 0
-            if row["_kind"] == READING:
-                if now < until:
-                    yield Row(**{self.key: key[0], **{c: row[c] for c in self.payload}})
-            elif now + row["_duration"] > until:
-                if until:
-                    self.handle.deleteTimer(until)
-                until = now + row["_duration"]
-                self.handle.registerTimer(until)
-                self.until.update((until,))
+            if row["_kind"] == SWITCH:
+                until = max(until, now + row["_duration"])
+            elif now < until:
+                yield Row(**{self.key: key[0], **{c: row[c] for c in self.payload}})
+        if until > before:
+            self.until.update((until,))
+            self.handle.registerTimer(until)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        self.until.clear()
+        """Forget a key that is off; a timer set before an extension finds it still on."""
+        state = self.until.get()
+        if state and state[0] <= timerValues.getCurrentProcessingTimeInMs():
+            self.until.clear()
         return iter(())
 
 
