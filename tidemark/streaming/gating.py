@@ -15,6 +15,8 @@ from tidemark.operators.gating import open_end
 from tidemark.streaming.ordered import AT, InOrder
 
 SWITCH, READING = 0, 1
+# The year 2500: a switch that ends later is taken as never ending.
+FAR = 16_725_225_600_000_000
 
 
 class EventTimeGate(InOrder):
@@ -64,7 +66,7 @@ class ProcessingTimeGate(StatefulProcessor):
         before = until = state[0] if state else 0
         for row in rows:
             if row["_kind"] == SWITCH:
-                until = max(until, now + row["_duration"])
+                until = max(until, min(now + row["_duration"], FAR // 1000))
             elif now < until:
                 yield Row(**{self.key: key[0], **{c: row[c] for c in self.payload}})
         if until > before:
@@ -79,10 +81,6 @@ class ProcessingTimeGate(StatefulProcessor):
         return iter(())
 
 
-# Switches that end later than this (the year 2500) are not waited for.
-FAR = 16_725_225_600_000_000
-
-
 def gated(
     readings: DataFrame, switches: DataFrame, key: str, ts: str = "ts", duration_ms: str = "duration_ms"
 ) -> DataFrame:
