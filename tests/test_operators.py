@@ -55,6 +55,14 @@ def test_sliding_counts(spark, start, block):
     assert got.schema.simpleString() == want.select(got.columns).schema.simpleString()
 
 
+def test_sliding_counts_keep_the_kind_of_time(spark):
+    df = spark.createDataFrame(make(7, n=200), SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+    got = windows.sliding_counts(df, ["key", "kind"], "ts", "10 minutes", "1 minute")
+    want = windows.window_counts(df, ["key", "kind"], "ts", "10 minutes", "1 minute")
+    assert dict(got.dtypes)["window_end"] == "timestamp"
+    assert on(got, *want.columns) == on(want, *want.columns)
+
+
 def test_sliding_window_bounds(spark):
     df = spark.createDataFrame([(1, datetime(2024, 1, 1, 10, 2)), (1, datetime(2024, 1, 1, 11))], "key bigint, ts timestamp_ntz")
     got = on(windows.sliding_counts(df, ["key"], "ts", "60 minutes", "5 minutes"), "window_end", "view_count")
