@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, exact, mixing, urls
+from tidemark.llm import chat, compression, exact, mixing, simhash, suffix_tree, token_counts, urls
 
-MODULES = (urls, exact, mixing, chat)
+MODULES = (urls, exact, compression, suffix_tree, mixing, simhash, token_counts, chat)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
