@@ -6,9 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, compression, exact, mixing, simhash, suffix_tree, token_counts, urls
-
-MODULES = (urls, exact, compression, suffix_tree, mixing, simhash, token_counts, chat)
+from tidemark.llm import (
+    chat,
+    compression,
+    exact,
+    mixing,
+    parsing,
+    semantic,
+    simhash,
+    suffix_tree,
+    token_counts,
+    urls,
+)
+
+MODULES = (urls, exact, compression, suffix_tree, mixing, semantic, simhash, token_counts, chat, parsing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,8 @@ Fit. Of the labelled training texts of at most `TEXT_BYTES` bytes, the `SAMPLE`
 hash of the identifier are the bounded sample: at most SAMPLE * TEXT_BYTES bytes of each label are ever
 collected. The first two thirds of each label train its dictionary; the rest calibrate.
 
-Score. d = (size with the bad dictionary - size with the good one) / (size with neither), for the whole text. A
+Score. d = (size with the bad dictionary - size with the good one) / (size with neither), for the whole text, each
+size without what an empty frame takes. A
 logistic curve over d, and over the logarithm of how far the text compresses by itself and its square (in text that
 repeats itself no dictionary tells much), fitted to the calibration texts with their share of labels, makes
 it a probability that the label is 1. A text longer than `BLOCK` is compressed in blocks and the sizes added, so that a
@@ -54,6 +55,7 @@ class Sizes:
 
         plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.good, self.bad, self.plain = ready(good), ready(bad), plain
+        self.frame = [len(c.compress(b"")) for c in (self.good, self.bad, self.plain)]
 
     def measures(self, text: bytes) -> tuple[float, float, float, float]:
         """d, the logarithm of the text's own ratio and its square, and 1."""
@@ -61,8 +63,11 @@ class Sizes:
             return 0.0, 0.0, 0.0, 1.0
         view = memoryview(text)
         parts = [view[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
-        good, bad, plain = (sum(len(c.compress(p)) for p in parts) for c in (self.good, self.bad, self.plain))
-        ratio = np.log(plain / len(text))
+        good, bad, plain = (
+            max(1, sum(len(c.compress(p)) - frame for p in parts))
+            for c, frame in zip((self.good, self.bad, self.plain), self.frame, strict=True)
+        )
+        ratio = min(0.0, np.log(plain / len(text)))
         return (bad - good) / plain, ratio, ratio * ratio, 1.0
 
 

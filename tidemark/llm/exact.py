@@ -97,8 +97,13 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
     digest_chars: the leading hex digits of the SHA-256 that key the state.
     """
-    spark = docs.sparkSession
-    texts = with_digest(located(docs), id_column, text_column, digest_chars)
+    return groups_of(located(docs), id_column, text_column, digest_chars)
+
+
+def groups_of(rows: DataFrame, id_column: str, text_column: str, digest_chars: int = 64) -> DataFrame:
+    """`groups` of `located` rows."""
+    spark = rows.sparkSession
+    texts = with_digest(rows, id_column, text_column, digest_chars)
     folder = scratch(spark)
     arrivals = texts.drop("text")
     arrivals.write.parquet(f"{folder}/arrivals")
@@ -128,7 +133,7 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 def kept_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     rows = located(docs)
-    dropped = groups(docs, id_column, text_column).where("not kept").select(F.col("at").alias("gone"))
+    dropped = groups_of(rows, id_column, text_column).where("not kept").select(F.col("at").alias("gone"))
     return rows.join(dropped, F.col("at") == F.col("gone"), "left_anti").select("row.*")
 
 
