@@ -147,5 +147,5 @@ def test_chat_round_trip(spark):
         shown = re.findall("<turn>([^<]*)<text>([^<]*)</turn>", r.text)
         assert sum(len(t.split()) + chat.OVERHEAD for _, t in shown) <= chat.BUDGET
         assert sum(len(t.split()) + chat.OVERHEAD for _, t in shown[: r.n_repeated]) <= chat.HISTORY
-    assert windows.where("conv_id = 6 and window > 1 and n_repeated = 0").count() < windows.where("conv_id = 6").count() / 2
+    assert windows.where("conv_id = 6 and n_repeated > 0").count() > 20
     assert chat.read_back(chat.formatted(turns.limit(0))).collect() == []

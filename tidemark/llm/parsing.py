@@ -50,8 +50,9 @@ class Hasher:
     def __init__(self):
         self.table = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         n = CHUNK + 2 * LENGTH + 2
-        self.powers = np.cumprod(np.concatenate([[1], np.full(n, BASE, np.uint64)]).astype(np.uint64))
-        self.inverse = np.cumprod(np.concatenate([[1], np.full(n, pow(BASE, -1, WORD), np.uint64)]).astype(np.uint64))
+        self.powers, self.inverse = (
+            np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, factor, np.uint64)])) for factor in (BASE, pow(BASE, -1, WORD))
+        )
 
     def grams(self, letters: np.ndarray, size: int) -> dict[int, np.ndarray]:
         """Hashes of the 2^i bytes from each place on, for the sizes 16 and up to `size`."""

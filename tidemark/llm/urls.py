@@ -8,8 +8,8 @@ with the data. The score of a URL is the mean over its characters and its end of
 ln p_accepted - ln p_rejected.
 
 Calibration. A fifth of the distinct example URLs is left out of the counts. Their scores, in bins of
-0.01, choose the threshold: the lowest that gives the largest share of accepted URLs above it plus share
-of rejected URLs below it. Without such examples of both sides the threshold is 0.
+0.01, choose the threshold: the middle of the lowest gap between bins that gives the largest share of accepted
+URLs above it plus share of rejected URLs below it. Without such examples of both sides the threshold is 0.
 
 Cases. Null or empty URLs, and those without `://`, have an empty host and path, fit no rule and are
 judged by the model (an empty text has only its end). Repeated rows are judged alike, each on its own row.
@@ -147,7 +147,7 @@ def judged(
 
 
 def threshold(examples: DataFrame) -> int:
-    """The lowest bin with the most accepted examples at or above it plus rejected ones below it, as shares."""
+    """The middle of the lowest gap between bins with the most accepted examples above it plus rejected ones below, as shares."""
     edge = F.greatest(F.least(F.col("bin"), F.lit(LIMIT)), F.lit(-LIMIT))
     rows = examples.groupBy(edge.alias("bin")).agg(
         F.sum(F.when(F.col("fit.verdict") == "allow", F.col("n")).otherwise(0)).alias("a"),
@@ -156,12 +156,12 @@ def threshold(examples: DataFrame) -> int:
     all_a, all_r = sum(row.a for row in rows), sum(row.r for row in rows)
     if not all_a or not all_r:
         return 0
-    best, limit, below_a, below_r = -1, 0, 0, 0
+    best, limit, below_a, below_r, last = -1, 0, 0, 0, None
     for row in rows:
         gain = (all_a - below_a) * all_r + below_r * all_a
         if gain > best:
-            best, limit = gain, row.bin
-        below_a, below_r = below_a + row.a, below_r + row.r
+            best, limit = gain, row.bin if last is None else (last + row.bin + 1) // 2
+        below_a, below_r, last = below_a + row.a, below_r + row.r, row.bin
     return limit
 
 
@@ -219,7 +219,7 @@ bins AS (
          sum(CASE WHEN left(fit, 5) = 'block' THEN n ELSE 0 END) AS r
   FROM scores JOIN known USING (url) WHERE held GROUP BY 1),
 edges AS (
-  SELECT bin, sum(a) OVER () AS all_a, sum(r) OVER () AS all_r,
+  SELECT coalesce(floor((lag(bin) OVER (ORDER BY bin) + bin + 1) / 2.0)::BIGINT, bin) AS bin, sum(a) OVER () AS all_a, sum(r) OVER () AS all_r,
          coalesce(sum(a) OVER before, 0) AS below_a, coalesce(sum(r) OVER before, 0) AS below_r
   FROM bins WINDOW before AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 edge AS (
