@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a single longer text is taken alone.
-SLICE = 6_000_000
+SLICE = 2_000_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE) -> Iterator[pa.Table]:
@@ -59,7 +59,7 @@ def places(distinct: pa.Array, known: pa.Array) -> np.ndarray:
 class Tally:
     """Counts by value, folded from time to time; `fold` bounds the values held at once."""
 
-    def __init__(self, fold: int = 1_500_000):
+    def __init__(self, fold: int = 400_000):
         self.parts, self.held, self.fold = [], 0, fold
 
     def add(self, values: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:

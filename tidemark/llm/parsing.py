@@ -202,18 +202,18 @@ def repeated(parts: DataFrame) -> DataFrame:
         parts.withColumns({"all": F.sum("weight").over(core), "equal": F.sum("weight").over(same)})
         .where("all > 1")
     )
-    # Where all share one content there is nothing to compare; else every start is, the repeated ones for the others' sake.
-    inside = (
-        rows.where(F.col("all") > F.col("equal"))
-        .select("core", "left", "right", "r1", "r2", "trigger", "weight", "equal", F.explode(F.sequence("low", "high")).alias("low"))
-        .withColumn("back", (F.col("trigger") - F.col("low")).cast("int"))
-        .withColumn("head", F.substr("left", F.octet_length("left") - F.col("back") + 1, F.col("back")))
-        .withColumn("tail", F.substr("right", F.lit(1), NARROW - 1 - F.col("back")))
+    # Where all share one content it repeats whole; else every start is compared on its own.
+    alike = F.col("all") == F.col("equal")
+    whole = F.array(F.struct("low", "high"))
+    each = F.transform(F.sequence("low", "high"), lambda p: F.struct(p.alias("low"), p.alias("high")))
+    back = F.when(alike, -1).otherwise((F.col("trigger") - F.col("span.low")).cast("int"))
+    return (
+        rows.withColumn("span", F.explode(F.when(alike, whole).otherwise(each)))
+        .withColumn("back", back)
+        .withColumn("head", F.when(alike, F.lit(b"")).otherwise(F.substr("left", F.octet_length("left") - F.col("back") + 1, F.col("back"))))
+        .withColumn("tail", F.when(alike, F.lit(b"")).otherwise(F.substr("right", F.lit(1), NARROW - 1 - F.col("back"))))
         .withColumn("n", F.sum("weight").over(Window.partitionBy("core", "back", "head", "tail")))
-        .where("n > 1 and equal = 1")
-    )
-    return rows.where("equal > 1").select("r1", "r2", "low", "high").unionByName(
-        inside.select("r1", "r2", "low", F.col("low").alias("high"))
+        .where("n > 1").select("r1", "r2", "span.low", "span.high")
     )
 
 
