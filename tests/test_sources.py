@@ -74,3 +74,21 @@ def test_kafka_connector_is_asked_for(spark):
     for start in (kafka.stream_topic, kafka.read_topic):
         with pytest.raises(PySparkException, match="(?i)kafka"):
             start(spark, "localhost:1", "lines")
+
+
+def test_strict_rows_are_checked_whole(spark):
+    """A bad field fails the row although a filter and pruning leave it unused; padded numbers are bad."""
+    for bad in ("x,7,notint,pv,1511658000", "1,2,3,buy,zzz", " 1,2,3,pv,1511658000", "1,2,3,pv"):
+        frame = spark.createDataFrame([("1,2,3,pv,1511658000",), (bad,)], "value string")
+        with pytest.raises(Exception, match="bad record"):
+            records.parse_behavior(frame).where("behavior = 'pv'").select("item_id", "ts").collect()
+        assert records.parse_behavior(frame, strict=False).count() == 2
+    line = spark.createDataFrame([("83.1.1.1 - - 17/05/2015:10:05:03 +0000 GET ",)], "value string")
+    with pytest.raises(Exception, match="bad record"):
+        records.parse_access_log(line).select("url").collect()
+
+
+def test_times_near_the_limit(spark):
+    frame = spark.createDataFrame([("1,2,3,pv,9100000000000",), ("1,2,3,pv,9300000000000",)], "value string")
+    got = [r.y for r in records.parse_behavior(frame, strict=False).selectExpr("year(ts) y").collect()]
+    assert got == [290337, None]

@@ -77,11 +77,10 @@ def test_routing_by_length(spark):
     assert on(shown, "line") == [("reject> questions",), ("reject> wonder",)]
 
 
-def test_spread_only_when_too_few_tasks(spark):
-    one = spark.range(10).coalesce(1)
-    assert lines.spread(one, "id").rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 9)
-    assert lines.spread(many, "id") is many
+def test_only_spaces_are_blank(spark):
+    rows = spark.createDataFrame([(v,) for v in ("", "   ", " \r", "\u0085", "  \u2028", "\t", "a")], "value string")
+    kept = [r.value for r in lines.without_blank(rows).collect()]
+    assert kept == [" \r", "\u0085", "  \u2028", "\t", "a"]
 
 
 def test_epoch_conversions(spark):

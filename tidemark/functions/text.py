@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLANK = r"^ *$"
-
 
 def tokens(line: Column, separator: str = " ") -> Column:
     """Split a line on `separator`, keeping leading and inner empty tokens, dropping trailing ones.
@@ -39,8 +37,8 @@ def lines(text: Column) -> Column:
 
 
 def is_blank(line: Column) -> Column:
-    """Empty or made of spaces only; tabs count as content."""
-    return line.rlike(BLANK)
+    """Empty or made of spaces only; tabs and line ends of any kind count as content."""
+    return F.rtrim(line) == ""
 
 
 def prefixed(value: Column, prefix: str) -> Column:

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.operators import running
 
-# Blocks a switch is copied into at most.
-MAX_COPIES = 100
 # Switches come before readings of the same time.
 ORDER, UNTIL = ("_at", "_kind"), "_until"
 NEVER = 2**63 - 1
@@ -22,8 +20,6 @@ def gated(
     ts: str = "ts",
     duration_ms: str = "duration_ms",
     block: times.Span = "1 hour",
-    few_keys: int = 0,
-    max_copies: int = MAX_COPIES,
 ) -> DataFrame:
     """The readings at a time `t` for which some switch of their key has `at <= t < at + duration`.
 
@@ -31,19 +27,10 @@ def gated(
     passes when the latest end among the switches up to its time lies after it. One ordered pass
     over both inputs finds that end; readings are never paired with switches.
 
-    A key is cut into blocks of time, so a busy one spreads over tasks. A switch is shown to each
-    block it is on in. If the longest one would take more than `max_copies` blocks, the ends are
-    carried from block to block instead.
-
-    Where switches name few of the keys, set `few_keys`: if they name no more than that, readings
-    of other keys are dropped in the scan's own tasks instead of travelling. The count is checked
-    first, and a longer list is not broadcast.
+    A key is cut into blocks of time, so a busy one spreads over tasks; the latest end is carried from
+    block to block, whatever the lengths of the switches.
     """
     kind = readings.schema[key].dataType
-    if few_keys:
-        named = switches.select(F.col(key).cast(kind).alias(key)).distinct()
-        if named.limit(few_keys + 1).count() <= few_keys:
-            readings = readings.join(F.broadcast(named), key, "left_semi")
     at, width = times.to_micros(F.col(ts)), times.span_micros(block)
     marked = readings.select(
         F.col(key), at.alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_end"),
@@ -56,17 +43,9 @@ def gated(
         open_end(at, F.col(duration_ms)).alias("_end"),
         F.lit(None).cast(marked.schema["_row"].dataType).alias("_row"),
     ).where(F.col("_end") > F.col("_at"))
-    longest = switches.agg(F.max(duration_ms)).first()[0] or 0
-    if longest * 1000 // width + 2 > max_copies:
-        timeline = running.running(
-            marked.unionByName(ends), [key], ORDER, F.col("_end"), UNTIL, running.MAX, F.col("_at"), (width,)
-        )
-    else:
-        blocks = F.sequence(running.block_of(F.col("_at"), width), running.block_of(F.col("_end") - 1, width))
-        shown = ends.withColumn("_block", F.explode(blocks))
-        shown = shown.withColumn("_at", F.greatest("_at", F.col("_block") * F.lit(width)))
-        placed = marked.withColumn("_block", running.block_of(F.col("_at"), width)).unionByName(shown)
-        timeline = running.running(placed, [key, "_block"], ORDER, F.col("_end"), UNTIL, running.MAX)
+    timeline = running.running(
+        marked.unionByName(ends), [key], ORDER, F.col("_end"), UNTIL, running.MAX, F.col("_at"), (width,)
+    )
     return timeline.where((F.col("_kind") == 1) & (F.col(UNTIL) > F.col("_at"))).select("_row.*")
 
 

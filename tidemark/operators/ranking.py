@@ -26,13 +26,14 @@ def top(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, ou
     return first.withColumn(out, F.col(out).cast("bigint"))
 
 
-def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str = "rank", total: str | None = None) -> DataFrame:
     """All rows of each group, numbered from 1 in `order`.
 
     Rows are range-partitioned by group and order together, so one large group is cut over many
     tasks, and numbered inside each task by place. Counts per task and group tell how many rows of
     a group lie in the tasks before. The placement is written out first, since task numbers may
-    change when a lost task runs again; what `df` reads is read once.
+    change when a lost task runs again; what `df` reads is read once, while the plan is built.
+    `total` names a further column: the rows of the group.
     """
     place = [*[F.col(c) for c in group], *order]
     placed = durable(
@@ -48,16 +49,19 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
         *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
         FROM,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(BEFORE),
+        F.sum("_n").over(Window.partitionBy(*group)).alias("_total"),
     )
     same = reduce(and_, [placed[c].eqNullSafe(starts[f"_g{i}"]) for i, c in enumerate(group)])
-    ranked = placed.join(starts, (placed[PART] == starts["_p"]) & same)
+    ranked = placed.join(starts.hint("merge"), (placed[PART] == starts["_p"]) & same)
     rank = F.col(INDEX) - F.col(FROM) + F.col(BEFORE) + F.lit(1)
-    return ranked.select(*df.columns, rank.alias(out))
+    return ranked.select(*df.columns, rank.alias(out), *([F.col("_total").alias(total)] if total else []))
 
 
 # The wording of the reports.
 RULE = "====================================\n"
 TIME_LABEL = "时间: "
+ITEM_LINE = "No%d:  商品ID=%d  浏览量=%d  windowEnd=%d\n"
+URL_LINE = "No%d:  URL=%s  流量=%d"
 
 
 def hot_items_report(ranked: DataFrame, n: int) -> DataFrame:
@@ -66,7 +70,7 @@ def hot_items_report(ranked: DataFrame, n: int) -> DataFrame:
     A group is at most `n` rows, so the text stays small.
     """
     end = times.to_millis(F.col("window_end"))
-    line = F.format_string("No%d:  商品ID=%d  浏览量=%d  windowEnd=%d\n", "rank", "item_id", "view_count", end)
+    line = F.format_string(ITEM_LINE, "rank", "item_id", "view_count", end)
     texts = (
         ranked.where(F.col("rank") <= n)
         .groupBy("window_end")
@@ -84,14 +88,14 @@ def hot_items_report(ranked: DataFrame, n: int) -> DataFrame:
     return texts.select("window_end", report.alias("report"))
 
 
-def traffic_report_lines(ranked: DataFrame) -> DataFrame:
+def traffic_report_lines(ranked: DataFrame, total: str) -> DataFrame:
     """The full ranking as report lines `window_start, line_no, line`: `url, window_start,
-    window_end, view_count, rank`.
+    window_end, view_count, rank` and the rows of the window, `total`.
 
     A window may rank any number of URLs, so its report stays rows, never gathered into one text:
     ordered by `line_no` they read as the report.
     """
-    body = F.format_string("No%d:  URL=%s  流量=%d", "rank", "url", "view_count")
+    body = F.format_string(URL_LINE, "rank", "url", "view_count")
     heading = F.array(
         F.struct(F.lit(0).cast("bigint").alias("line_no"), F.lit(RULE.strip()).alias("line")),
         F.struct(
@@ -100,11 +104,9 @@ def traffic_report_lines(ranked: DataFrame) -> DataFrame:
         ),
     )
     entry = F.array(F.struct((F.col("rank") + 1).cast("bigint").alias("line_no"), body.alias("line")))
-    rows = ranked.select(
-        "window_start",
-        F.explode(F.when(F.col("rank") == 1, F.concat(heading, entry)).otherwise(entry)).alias("r"),
-    ).select("window_start", "r.line_no", "r.line")
-    closing = ranked.groupBy("window_start").agg(
-        (F.max("rank") + 2).cast("bigint").alias("line_no"), F.lit(RULE.strip()).alias("line")
+    closing = F.array(F.struct((F.col(total) + 2).cast("bigint").alias("line_no"), F.lit(RULE.strip()).alias("line")))
+    none = F.slice(entry, 1, 0)
+    shown = F.concat(
+        F.when(F.col("rank") == 1, heading).otherwise(none), entry, F.when(F.col("rank") == F.col(total), closing).otherwise(none)
     )
-    return rows.unionByName(closing.select("window_start", "line_no", "line"))
+    return ranked.select("window_start", F.explode(shown).alias("r")).select("window_start", "r.line_no", "r.line")

@@ -75,7 +75,7 @@ def running(
         window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = rows.withColumn(out, combine.local(value).over(window))
     merged = combine.merge(F.col("_carry"), F.col(out)).cast("bigint")
-    return local.join(carries, [*keys, "_block"], "left").withColumn(out, merged).drop("_block", "_carry")
+    return local.join(carries.hint("merge"), [*keys, "_block"], "left").withColumn(out, merged).drop("_block", "_carry")
 
 
 def _before(totals: DataFrame, keys: Sequence[str], total: str, combine: Combine, widths: Sequence[int]) -> DataFrame:

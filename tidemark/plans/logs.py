@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import times
 from tidemark.operators import ranking, windows
 from tidemark.plans import tables
-from tidemark.sources import lines, records
+from tidemark.sources import records
 
 # Window and slide.
 SIZE, SLIDE = "10 minutes", "5 seconds"
@@ -17,7 +17,6 @@ SIZE, SLIDE = "10 minutes", "5 seconds"
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The events as access log lines: every item is a page, and every tenth item has no URL."""
     events = tables.load(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    events = lines.spread(events, "event_id")
     user = F.col("user_id")
     address = F.concat(
         F.lit("10.0."), F.shiftright(user, 8).cast("string"), F.lit("."), F.pmod(user, F.lit(256)).cast("string")
@@ -34,7 +33,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(url, F.lit("")),
         F.lit("HTTP/1.1"),
     )
-    return events.select("event_type", line.alias("value"))
+    return events.select(line.alias("value"))
 
 
 def access_log_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,16 +41,21 @@ def access_log_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def url_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    clicks = log_lines(spark, folder).where(F.col("event_type") == "click")
-    return windows.sliding_counts(records.parse_access_log(clicks), ["url"], "ts", SIZE, SLIDE)
+    """Requests of every kind: all that parse and have a URL."""
+    requests = records.parse_access_log(log_lines(spark, folder))
+    return windows.sliding_counts(requests, ["url"], "ts", SIZE, SLIDE)
+
+
+def _ranked(spark: SparkSession, folder: str, total: str | None = None) -> DataFrame:
+    return ranking.numbered(url_traffic(spark, folder), ["window_start"], [F.desc("view_count"), F.asc("url")], total=total)
 
 
 def url_traffic_ranked(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.numbered(url_traffic(spark, folder), ["window_start"], [F.desc("view_count"), F.asc("url")])
+    return _ranked(spark, folder)
 
 
 def url_traffic_report(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.traffic_report_lines(url_traffic_ranked(spark, folder))
+    return ranking.traffic_report_lines(_ranked(spark, folder, "n_rows"), "n_rows")
 
 
 QUERIES = {
@@ -75,7 +79,7 @@ traffic AS (
   FROM (
     SELECT url, time_bucket(INTERVAL 5 SECOND, ts, TIMESTAMP '1970-01-01')
       - to_seconds(5 * CAST(unnest(range(0, 120)) AS INTEGER)) AS window_start
-    FROM log WHERE event_type = 'click')
+    FROM log)
   GROUP BY url, window_start)"""
 )
 _RANKED = (

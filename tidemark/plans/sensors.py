@@ -30,15 +30,15 @@ def sensor_avg_hourly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gated_readings(spark: SparkSession, folder: str) -> DataFrame:
-    """Views pass while a sign-up of the same user holds the gate open, for `k` minutes."""
+    """Every event but a sign-up is a reading; it passes while a sign-up of the same user holds the gate open, for `k` minutes."""
     events = tables.load(spark, folder, "events")
-    views = events.where(F.col("event_type") == "view").select(
+    measured = events.where(~F.col("event_type").eqNullSafe("signup")).select(
         "event_id", F.col("user_id").alias("id"), "ts", F.col("value").alias("temperature")
     )
     switches = events.where(F.col("event_type") == "signup").select(
         F.col("user_id").alias("id"), "ts", (tables.item_key() * F.lit(60_000)).alias("duration_ms")
     )
-    return gating.gated(views, switches, "id")
+    return gating.gated(measured, switches, "id")
 
 
 def forwarded_texts(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +75,7 @@ FROM events GROUP BY 1, 2"""
 _GATED = """
 WITH gated AS (
   SELECT event_id, user_id AS id, ts, value AS temperature FROM events v
-  WHERE event_type = 'view' AND EXISTS (
+  WHERE event_type IS DISTINCT FROM 'signup' AND EXISTS (
     SELECT 1 FROM events s
     WHERE s.event_type = 'signup' AND s.user_id = v.user_id AND s.ts <= v.ts
       AND v.ts < s.ts + to_minutes(CAST(json_extract_string(s.props, '$.k') AS INTEGER))))"""

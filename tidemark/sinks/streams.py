@@ -55,9 +55,15 @@ def ranks_of_windows(
     counts: DataFrame, window: Sequence[str], order: Sequence[Column], write: Write, checkpoint: str, **trigger: object
 ) -> StreamingQuery:
     """Rank window counts as their windows close and hand on all of them."""
-    return each_batch(
-        counts, lambda batch, number: write(ranking.numbered(batch, window, order), number), checkpoint, **trigger
-    )
+
+    def rank(batch: DataFrame, number: int) -> None:
+        batch.persist()  # placing rows samples them first
+        try:
+            write(ranking.numbered(batch, window, order), number)
+        finally:
+            batch.unpersist()
+
+    return each_batch(counts, rank, checkpoint, **trigger)
 
 
 def to_outputs(stream: DataFrame, outputs: dict[str, tuple[Column, Write]], checkpoint: str, **trigger: object) -> StreamingQuery:

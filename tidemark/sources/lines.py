@@ -40,18 +40,6 @@ def without_blank(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.where(~text.is_blank(F.col(column)))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than the cluster has cores, by a unique key.
-
-    One big row group is one task however much work follows. Inputs that already fill the
-    cluster are left alone: there the exchange would only cost.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def _without_cr(column: str) -> Column:
     value = F.col(column)
     return F.when(value.endswith("\r"), F.left(value, F.length(value) - 1)).otherwise(value).alias(column)

@@ -7,15 +7,14 @@ Parsing is strict by default: a row that does not fit fails the job, as ANSI cas
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import times
-
-# Beyond this many seconds from 1970 a microsecond timestamp overflows.
-MAX_SECONDS = 9_000_000_000_000
+from tidemark.functions import text, times
 
 
 def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str) -> DataFrame:
@@ -23,40 +22,46 @@ def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType |
     return spark.createDataFrame(list(rows), schema)
 
 
-def parse_behavior(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
-    """`user,item,category,behavior,epoch seconds` lines; further fields are ignored."""
-    fields = F.split(F.col(column), ",", -1)
+def _checked(columns: dict[str, Column], bad: Column, line: Column, strict: bool, kinds: dict[str, str]) -> list[Column]:
+    """The columns; if strict, each of them fails on a bad row, so no filter or pruning passes one by."""
+    if not strict:
+        return [value.alias(name) for name, value in columns.items()]
+    failed = F.raise_error(F.concat(F.lit("bad record: "), line))
+    return [F.when(bad, failed.cast(kinds[name])).otherwise(value).alias(name) for name, value in columns.items()]
 
-    def field(i: int, kind: str) -> Column:
-        return fields[i].cast(kind) if strict else F.get(fields, F.lit(i)).try_cast(kind)
 
-    seconds = field(4, "bigint")
-    if not strict:
-        seconds = F.when(seconds.between(-MAX_SECONDS, MAX_SECONDS), seconds)
-    return lines.select(
-        field(0, "bigint").alias("user_id"),
-        field(1, "bigint").alias("item_id"),
-        field(2, "int").alias("category_id"),
-        field(3, "string").alias("behavior"),
-        times.from_seconds(seconds).alias("ts"),
-    )
+def _number(value: Column, kind: str) -> Column:
+    """A whole number without spaces around it, else null."""
+    return F.when(value.rlike(r"^[+-]?[0-9]+\z"), value.try_cast(kind))
+
+
+def parse_behavior(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
+    """`user,item,category,behavior,epoch seconds` lines; further fields are ignored.
+
+    A strict row is checked in all five fields, whichever of them are used.
+    """
+    line = F.col(column)
+    fields = text.tokens(line, ",")
+    kinds = {"user_id": "bigint", "item_id": "bigint", "category_id": "int", "behavior": "string", "ts": "timestamp_ntz"}
+    columns = {
+        name: F.get(fields, F.lit(i)) if kind == "string" else _number(F.get(fields, F.lit(i)), "bigint" if name == "ts" else kind)
+        for i, (name, kind) in enumerate(kinds.items())
+    }
+    columns["ts"] = times.from_micros(F.try_multiply(columns["ts"], F.lit(1_000_000)))
+    bad = line.isNotNull() & ~reduce(and_, [value.isNotNull() for value in columns.values()])
+    return lines.select(*_checked(columns, bad, line, strict, kinds))
 
 
 def parse_access_log(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
     """Space-separated access log lines: address, time, method and URL at 0, 3, 5 and 6.
 
     The zone offset at 4 is not read: times are taken as UTC. Two spaces before the URL leave
-    an empty field there; such rows are dropped.
+    an empty field there; such rows are dropped. Empty fields at the end of a line count as missing.
     """
-    fields = F.split(F.col(column), " ", -1)
-
-    def field(i: int) -> Column:
-        return fields[i] if strict else F.get(fields, F.lit(i))
-
-    parsed = lines.select(
-        field(0).alias("ip"),
-        times.log_time(field(3), strict).alias("ts"),
-        field(5).alias("method"),
-        field(6).alias("url"),
-    )
-    return parsed.where(~F.col("url").eqNullSafe(""))
+    line = F.col(column)
+    fields = text.tokens(line, " ")
+    kinds = {"ip": "string", "ts": "timestamp_ntz", "method": "string", "url": "string"}
+    columns = {name: F.get(fields, F.lit(i)) for name, i in zip(kinds, (0, 3, 5, 6), strict=True)}
+    columns["ts"] = times.log_time(columns["ts"], strict=False)
+    bad = line.isNotNull() & ~reduce(and_, [value.isNotNull() for value in columns.values()])
+    return lines.select(*_checked(columns, bad, line, strict, kinds)).where(~F.col("url").eqNullSafe(""))

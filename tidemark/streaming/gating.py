@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions import times
-from tidemark.operators.gating import open_end
+from tidemark.operators.gating import NEVER, open_end
 from tidemark.streaming.ordered import AT, InOrder
 
 SWITCH, READING = 0, 1
-# The year 2500: a switch that ends later is taken as never ending.
-FAR = 16_725_225_600_000_000
+# The last millisecond that a time in microseconds can hold; a switch by the clock ends there at the latest.
+LAST_MS = NEVER // 1000
 
 
 class EventTimeGate(InOrder):
@@ -42,8 +42,7 @@ class EventTimeGate(InOrder):
             self.until.clear()
         else:
             self.until.update((until,))
-            if until < FAR:
-                self.wake(until)
+            self.wake(until)
 
 
 class ProcessingTimeGate(StatefulProcessor):
@@ -66,7 +65,7 @@ class ProcessingTimeGate(StatefulProcessor):
         before = until = state[0] if state else 0
         for row in rows:
             if row["_kind"] == SWITCH:
-                until = max(until, min(now + row["_duration"], FAR // 1000))
+                until = max(until, min(now + row["_duration"], LAST_MS))
             elif now < until:
                 yield Row(**{self.key: key[0], **{c: row[c] for c in self.payload}})
         if until > before:
@@ -117,7 +116,7 @@ def gated_by_clock(
     marked = readings.select(
         key, F.lit(READING).alias("_kind"), F.lit(None).cast("bigint").alias("_duration"), *payload
     )
-    on = switches.select(
+    on = switches.where(F.col(duration_ms).isNotNull()).select(
         F.col(key).cast(readings.schema[key].dataType).alias(key),
         F.lit(SWITCH).alias("_kind"),
         F.col(duration_ms).cast("bigint").alias("_duration"),
