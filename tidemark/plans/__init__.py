@@ -1,4 +1,4 @@
-"""The registered queries: each on whole tables, most with the SQL it must agree with."""
+"""The registered queries: each on whole tables, with the SQL it must agree with."""
 
 from __future__ import annotations
 
