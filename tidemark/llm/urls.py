@@ -66,9 +66,13 @@ def side(url: Column) -> Column:
     return F.conv(F.substring(F.md5(url), 1, 6), 16, 10).cast("bigint") % PARTS
 
 
-def windows(url: Column, order: int) -> Column:
+def letters_of(url: Column, order: int) -> Column:
+    """The code points of a URL, with marks of start and end."""
+    return F.regexp_extract_all(F.concat(F.lit(START * order), url, F.lit(END)), F.lit("(?s)."), F.lit(0))
+
+
+def windows(letters: Column, order: int) -> Column:
     """Every character and the end, each behind the `order` characters before it."""
-    letters = F.regexp_extract_all(F.concat(F.lit(START * order), url, F.lit(END)), F.lit("(?s)."), F.lit(0))
     return F.transform(
         F.sequence(F.lit(1), F.size(letters) - order),
         lambda i: F.array_join(F.slice(letters, i, order + 1), ""),
@@ -120,10 +124,11 @@ def judged(
         rows.groupBy(F.coalesce("_url", F.lit("")).alias("url")).agg(F.count("*").alias("n"))
         .withColumns({"host": host, "path": path})
         .withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
+        .withColumn("letters", letters_of(F.col("url"), order))  # once: a window takes a slice of it
     )
     verdict, held = F.col("fit.verdict"), side(F.col("url")) == 0
     grams = known.select(
-        "url", "n", verdict.alias("verdict"), held.alias("held"), F.explode(windows(F.col("url"), order)).alias("gram")
+        "url", "n", verdict.alias("verdict"), held.alias("held"), F.explode(windows(F.col("letters"), order)).alias("gram")
     )
 
     def times(name: str) -> Column:
@@ -134,7 +139,7 @@ def judged(
     scores = saved(
         grams.select("url", "gram").join(model, "gram").groupBy("url")
         .agg((F.sum("difference") / F.count("*")).alias("mean"))
-        .join(known, "url")
+        .join(known.drop("letters"), "url")
         .withColumn("bin", F.floor(F.col("mean") / 10000.0).cast("bigint"))
     )
     limit = threshold(scores.where(held))
