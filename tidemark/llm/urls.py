@@ -18,8 +18,8 @@ no rows.
 
 Plan. Distinct URLs are scored once. Characters are exploded with their context of `order` characters and
 counted with map-side combine; lower orders are sums over that table. Each distinct window gets its
-difference once, in integer millionths, and is joined to the URLs' windows; frequent windows are split by
-adaptive skew joins.
+difference once, in integer millionths, and is joined to the URLs' windows, which carry the number of their URL in
+place of its text; frequent windows are split by adaptive skew joins.
 """
 
 from __future__ import annotations
@@ -85,12 +85,8 @@ def differences(counts: DataFrame, seen: DataFrame, order: int, weight: float) -
     counts: gram, a, r, the times that accepted and rejected examples hold it.
     """
     size = F.length("gram")
-    out = seen.select("gram", F.lit("").alias("none"))
-    letters = counts.where("a + r > 0").select(F.substring("gram", -1, 1).alias("c")).distinct()
-    vocabulary = letters.agg(F.count("*").alias("v"), F.lit("").alias("none"))
-    out = out.join(vocabulary, "none", "left").select(
-        "gram", *[(1.0 / (F.col("v") + 1)).alias(p) for p in ("pa", "pr")]
-    )
+    letters = counts.where("a + r > 0").select(F.substring("gram", -1, 1).alias("c")).distinct().count()  # one number
+    out = seen.select("gram", *[F.lit(1.0 / (letters + 1)).alias(p) for p in ("pa", "pr")])
     for n in range(order + 1):
         own = F.substr("gram", size - n)
         before = F.substr("gram", size - n, F.lit(n))
@@ -125,10 +121,11 @@ def judged(
         .withColumns({"host": host, "path": path})
         .withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
         .withColumn("letters", letters_of(F.col("url"), order))  # once: a window takes a slice of it
+        .withColumn("place", F.monotonically_increasing_id())  # as written: short in the windows' exchanges
     )
     verdict, held = F.col("fit.verdict"), side(F.col("url")) == 0
     grams = known.select(
-        "url", "n", verdict.alias("verdict"), held.alias("held"), F.explode(windows(F.col("letters"), order)).alias("gram")
+        "place", "n", verdict.alias("verdict"), held.alias("held"), F.explode(windows(F.col("letters"), order)).alias("gram")
     )
 
     def times(name: str) -> Column:
@@ -137,9 +134,9 @@ def judged(
     counts = saved(grams.groupBy("gram").agg(times("allow").alias("a"), times("block").alias("r")))
     model = saved(differences(counts.where("a + r > 0"), counts.select("gram"), order, weight))
     scores = saved(
-        grams.select("url", "gram").join(model, "gram").groupBy("url")
+        grams.select("place", "gram").join(model, "gram").groupBy("place")
         .agg((F.sum("difference") / F.count("*")).alias("mean"))
-        .join(known.drop("letters"), "url")
+        .join(known.drop("letters"), "place")
         .withColumn("bin", F.floor(F.col("mean") / 10000.0).cast("bigint"))
     )
     limit = threshold(scores.where(held))
