@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import one, slices
-from tidemark.llm.shared import fold, load, text_of
+from tidemark.llm.shared import fold, load, saved, text_of
 
 FOLDS, CUT = 5, 0.3
 SAMPLE, TEXT_BYTES, DICTIONARY, LEVEL, BLOCK = 1500, 20_000, 112_640, 3, 1 << 16
@@ -84,12 +84,15 @@ def logistic(design: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return beta
 
 
-def fitted(examples: DataFrame, id_column: str, text_column: str, label_column: str) -> tuple[bytes, bytes, np.ndarray]:
-    """good, bad and the curve's weights from labelled rows."""
+def fitted(
+    examples: DataFrame, id_column: str, text_column: str, label_column: str, share: dict[int, int] | None = None
+) -> tuple[bytes, bytes, np.ndarray]:
+    """good, bad and the curve's weights from labelled rows; share: the rows of each label that these stand for."""
     rows = examples.where(F.col(label_column).isin(0, 1)).select(
         F.col(id_column).cast("string").alias("key"), text_of(text_column).alias("text"), F.col(label_column).alias("label")
     )
-    share = {row.label: row.n for row in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if share is None:
+        share = _share(rows, "label")
     whole = share.get(0, 0) + share.get(1, 0)
     if not share.get(0) or not share.get(1):
         p = 0.5 if not whole else np.clip(share.get(1, 0) / whole, 1e-6, 1 - 1e-6)
@@ -119,11 +122,16 @@ def fitted(examples: DataFrame, id_column: str, text_column: str, label_column:
     return good, bad, beta
 
 
+def _share(rows: DataFrame, label: str) -> dict[int, int]:
+    return {row[0]: row[1] for row in rows.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+
+
 def scored(
     docs: DataFrame, examples: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality",
+    share: dict[int, int] | None = None,
 ) -> DataFrame:
-    """`docs` with the column `score`, the probability that a row's label is 1."""
-    good, bad, beta = fitted(examples, id_column, text_column, label_column)
+    """`docs` with the column `score`, the probability that a row's label is 1; share: as for `fitted`."""
+    good, bad, beta = fitted(examples, id_column, text_column, label_column, share)
     model = docs.sparkSession.sparkContext.broadcast((good, bad))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,16 +146,29 @@ def scored(
     return rows.mapInArrow(score, f"row {kind}, score double")
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Training rows: documents with a label, outside the held-out fold."""
-    marks = labels.select(F.col("doc_id").alias("of"), F.col("quality").alias("mark"))
-    rows = docs.select("doc_id", "text").where(fold(F.col("doc_id"), FOLDS) != 0)
-    return rows.join(marks, F.col("doc_id") == F.col("of")).select("doc_id", "text", F.col("mark").alias("quality"))
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """The sample of documents with a label outside the held-out fold, and all such rows of each label.
+
+    Identifiers and lengths alone are joined to the labels; the at most 2 * SAMPLE identifiers that are picked then
+    fetch their texts by a broadcast join, so no text is shuffled.
+    """
+    sized = docs.select("doc_id", "text", F.octet_length(text_of()).alias("size")).where(fold(F.col("doc_id"), FOLDS) != 0)
+    marks = labels.select(F.col("doc_id").alias("of"), F.col("quality").alias("mark")).where("mark in (0, 1)")
+    narrow = saved(sized.select("doc_id", "size").join(marks, F.col("doc_id") == F.col("of")).select("of", "size", "mark"))
+    fits, key = F.col("size").between(1, TEXT_BYTES), F.col("of").cast("string")
+    good, bad = (
+        narrow.where(fits & (F.col("mark") == label)).select("of", "mark").orderBy(F.xxhash64(key), key).limit(SAMPLE)
+        for label in (1, 0)
+    )
+    picked = F.broadcast(saved(good.unionByName(bad)).distinct())
+    rows = sized.where(fits).join(picked, F.col("doc_id") == F.col("of"))
+    return rows.select("doc_id", "text", F.col("mark").alias("quality")), _share(narrow, "mark")
 
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    found = scored(docs, labelled(docs, load(spark, folder, "labels")))
+    examples, share = labelled(docs, load(spark, folder, "labels"))
+    found = scored(docs, examples, share=share)
     held = F.coalesce(fold(F.col("row.doc_id"), FOLDS) == 0, F.lit(False))
     return found.select(
         F.col("row.doc_id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
