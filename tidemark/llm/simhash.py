@@ -13,6 +13,13 @@ by a search that gives at most one link for each member, enough for reachability
 make all their pairs. An anchor with over `CELL` members is dealt out by pairs of blocks of its members, so each
 task holds two blocks and no link is lost. Components are found in rounds over the links.
 
+Near-duplicates (`near`, `kept_rows`). 3 bits of 64 hold copies with hardly a word changed. Copies by similarity, 0.8 or
+more of the distinct shingles of 5 words in common (Jaccard), take a longer fingerprint of 224 bits in 8 blocks of 28. A
+bit there is the vote of one shingle, the first in an order of the bit's own, so that two texts differ in a share
+(1 - similarity) / 2 of the bits: they link at 22 bits (10%) or fewer. Then one block differs in 2 bits or fewer, and as
+two words 2 apart always have an anchor within 2 of both, no link is lost. The similarity is thus estimated, with a
+standard error of 0.04 at 0.8. Texts whose sets of shingles are equal always link.
+
 Cases. Null and empty texts have fingerprint 0, linked like any other. A null identifier is no component's name unless
 all its members are null. Repeated rows are linked to each other. Other columns are not read. An empty table: no rows.
 """
@@ -26,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import one, slices
+from tidemark.llm.batches import coded, one, slices, words
 from tidemark.llm.components import components
-from tidemark.llm.shared import load, saved
+from tidemark.llm.shared import load, located, saved
 
 SHINGLE, SEED, APART, CELL = 3, 42, 3, 8192
 LOW = np.uint64(0xFFFFFFFF)
+#: Near-duplicates: words of a shingle, bits apart, and the blocks' bits: 1 to 28 of each half of four 64-bit words.
+NEAR_SHINGLE, NEAR_APART, NEAR_BITS = 5, 22, [half + bit for half in (0, 32) for bit in range(1, 29)]
+NEAR_WORDS = 4
 
 
 def fingerprint(text: bytes) -> int:
@@ -85,6 +95,70 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.mapInArrow(make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
+def near_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id and fp (32 bytes, of which 224 bits are used) of every row, for near-duplicates."""
+    import xxhash
+
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in slices(batches):
+            values, sizes = words(one(table["text"]))
+            distinct, codes = coded(values)
+            digests = np.array([xxhash.xxh64_intdigest(word, SEED) for word in distinct.to_pylist()], np.uint64)[codes]
+            ends = np.cumsum(sizes)
+            votes = [voted(shingle_digests(digests[end - size : end])) for end, size in zip(ends, sizes, strict=True)]
+            yield pa.record_batch({"doc_id": one(table["doc_id"]), "fp": as_column(np.array(votes, np.uint64), pa.binary())})
+
+    return rows.mapInArrow(make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary")
+
+
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (the finaliser of a common random generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_digests(digests: np.ndarray) -> np.ndarray:
+    """Distinct 32-bit digests of the shingles of a text, from those of its words; a short text is one shingle."""
+    if not len(digests):
+        return np.empty(0, np.uint32)
+    width = min(NEAR_SHINGLE, len(digests))
+    out = np.zeros(len(digests) - width + 1, np.uint64)
+    for k in range(width):
+        out = mixed_bits(out + digests[k : k + len(out)])
+    return np.unique((out >> np.uint64(32)).astype(np.uint32))
+
+
+def voted(shingles: np.ndarray) -> np.ndarray:
+    """The fingerprint: for each bit, the vote of the shingle that comes first in the bit's order."""
+    out = np.zeros(NEAR_WORDS, np.uint64)
+    if not len(shingles):
+        return out
+    number = np.random.default_rng(SEED).integers(0, 1 << 32, (2, NEAR_WORDS * len(NEAR_BITS)), dtype=np.uint32)
+    times, plus = number[0] | np.uint32(1), number[1]
+    first = np.full(len(times), 0xFFFFFFFF, np.uint32)
+    for begin in range(0, len(shingles), 256):  # pieces that stay in the cache
+        first = np.minimum(first, (shingles[begin : begin + 256, None] * times + plus).min(axis=0))
+    # An order's number names its shingle; one of its bits, mixed, is the shingle's vote.
+    vote = (mixed_bits(first.astype(np.uint64)) & np.uint64(1)).reshape(NEAR_WORDS, -1)
+    return (vote << np.array(NEAR_BITS, np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+def as_words(column: pa.Array) -> np.ndarray:
+    """Fingerprints, longs or binaries, as rows of 64-bit words."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
+
+
+def as_column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_binary(kind):
+        return pa.array([row.tobytes() for row in np.ascontiguousarray(values)], kind)
+    return pa.array(np.ascontiguousarray(values[:, 0]).view(np.int64))
+
+
 def syndrome(half: np.ndarray) -> np.ndarray:
     """Which of bits 1 to 31 to flip to get to the nearest code word, 0 for none: the XOR of the set bits' numbers."""
     out = np.zeros(half.shape, np.uint64)
@@ -117,13 +191,13 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def linked(values: np.ndarray, apart: int = APART) -> list[tuple[int, int]]:
-    """Links that join what is reachable among the values (uint64) at most `apart` bits apart; fewer than values."""
-    links, left = [], values.copy()
+    """Links (by row) that join what is reachable among the rows of words at most `apart` bits apart; fewer than rows."""
+    links, left = [], np.arange(len(values))
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             here = queue.pop()
-            near = np.bitwise_count(left ^ here) <= apart
+            near = np.bitwise_count(values[left] ^ values[here]).sum(axis=1) <= apart
             if near.any():
                 found = left[near]
                 links += [(int(here), int(x)) for x in found]
@@ -132,51 +206,56 @@ def linked(values: np.ndarray, apart: int = APART) -> list[tuple[int, int]]:
     return links
 
 
-def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
-    """a and b: links between distinct fingerprints `fp` at most 3 bits apart, enough for reachability."""
+def links(fps: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
+    """a and b: links between distinct fingerprints `fp` at most `apart` bits apart, enough for reachability.
+
+    Fingerprints are longs (any two at most 3 bits apart meet at an anchor) or binaries of several words.
+    """
+    kind = fps.schema["fp"].dataType.simpleString()
+    arrow = pa.binary() if kind == "binary" else pa.int64()
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 20_000):
-                values = batch.column("fp").slice(begin, 20_000).to_numpy(zero_copy_only=False)
-                rows, keys = anchors(values.view(np.uint64))
-                yield pa.record_batch({"anchor": pa.array(keys), "fp": pa.array(values[rows])})
+            for begin in range(0, batch.num_rows, 5_000):
+                column = batch.column("fp").slice(begin, 5_000)
+                values = as_words(column)
+                for word in range(values.shape[1]):
+                    rows, keys = anchors(np.ascontiguousarray(values[:, word]))
+                    yield pa.record_batch({"anchor": pa.array(keys + (word << 32)), "fp": column.take(pa.array(rows))})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by anchor and blocks; a group that a batch cuts is carried on."""
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            block = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "i", "j", "fp")], axis=1)
-            held.append(block)
-            if (block[0, :3] == block[-1, :3]).all() and (held[0][-1, :3] == block[-1, :3]).all():
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "i", "j")], axis=1)
+            held.append((keys, as_words(batch.column("fp"))))
+            if (keys[0] == keys[-1]).all() and (held[0][0][-1] == keys[-1]).all():
                 continue
-            block = np.concatenate(held)
-            last = np.flatnonzero((block[:, :3] != block[-1, :3]).any(axis=1))
+            keys, values = (np.concatenate(part) for part in zip(*held, strict=True))
+            last = np.flatnonzero((keys != keys[-1]).any(axis=1))
             cut = int(last[-1]) + 1 if len(last) else 0
-            yield from meet(block[:cut])
-            held = [block[cut:]]
+            yield from meet(keys[:cut], values[:cut])
+            held = [(keys[cut:], values[cut:])]
         if held:
-            yield from meet(np.concatenate(held))
+            yield from meet(*(np.concatenate(part) for part in zip(*held, strict=True)))
 
-    def meet(block: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(block):
+    def meet(keys: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(keys):
             return
-        keys, values = block[:, :3], np.ascontiguousarray(block[:, 3]).view(np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
-        sizes = np.diff(np.append(starts, len(block)))
-        found: list[tuple[int, int]] = []
+        sizes = np.diff(np.append(starts, len(keys)))
         two = starts[sizes == 2]
-        near = np.bitwise_count(values[two] ^ values[two + 1]) <= APART
-        pairs = np.stack([values[two][near], values[two + 1][near]], axis=1)
+        near = two[np.bitwise_count(values[two] ^ values[two + 1]).sum(axis=1) <= apart]
+        found = [np.stack([near, near + 1], axis=1)]
         for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
-            found += linked(values[start : start + size])
-        pairs = np.concatenate([pairs, np.array(found, np.uint64).reshape(-1, 2)]).view(np.int64)
-        if len(pairs):
-            pairs = np.unique(pairs, axis=0)
-            yield pa.record_batch({"a": pa.array(pairs[:, 0].copy()), "b": pa.array(pairs[:, 1].copy())})
-
-    members = fps.select("fp").mapInArrow(spread, "anchor long, fp long")
-    large = (
+            found.append(start + np.array(linked(values[start : start + size], apart), np.int64).reshape(-1, 2))
+        pairs = np.concatenate(found)
+        for begin in range(0, len(pairs), 20_000):
+            part = pairs[begin : begin + 20_000]
+            yield pa.record_batch({"a": as_column(values[part[:, 0]], arrow), "b": as_column(values[part[:, 1]], arrow)})
+
+    members = fps.select("fp").mapInArrow(spread, f"anchor long, fp {kind}")
+    large = saved(  # seldom any; written, so that its size is known to the join
         members.groupBy("anchor").count().where(F.col("count") > cell)
         .select("anchor", F.ceil(F.col("count") / (cell / 2)).cast("long").alias("blocks"))
     )
@@ -189,31 +268,41 @@ def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
     )
     return (
         met.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
-        .mapInArrow(compare, "a long, b long").distinct()
+        .mapInArrow(compare, f"a {kind}, b {kind}")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
-def grouped(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cell: int = CELL) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and n_rows with this fingerprint, of every row."""
-    rows = saved(fingerprints(docs, id_column, text_column))
+def named(rows: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
+    """`rows` (doc_id and fp) with component_id, the smallest identifier reachable."""
+    rows = saved(rows)
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct, cell))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = named.join(names, "root").select("fp", "component_id")
+    roots = components(links(distinct, cell, apart))
+    reached = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = reached.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(reached.join(names, "root").select("fp", "component_id"), "fp")
+
+
+def grouped(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cell: int = CELL) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(of_fp, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return named(fingerprints(docs, id_column, text_column), cell).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def kept_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component, with all its columns: the first one with the smallest identifier."""
-    from tidemark.llm.shared import located
+def near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cell: int = CELL) -> DataFrame:
+    """doc_id and component_id of every row, near-duplicates by shingles of 5 words linked."""
+    return named(near_fingerprints(docs, id_column, text_column), cell, NEAR_APART).select("doc_id", "component_id")
+
 
+def kept_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component of `near`, with all its columns: the first one with the smallest identifier."""
     rows = located(docs)
-    flat = rows.select(F.col(f"row.{id_column}").alias("doc_id"), F.col(f"row.{text_column}").alias("text"), "at")
-    named = grouped(flat.withColumn("doc_id", F.struct("doc_id", "at")))
-    stays = named.select("component_id.at").distinct().withColumnRenamed("at", "stays")
-    return rows.join(stays, F.col("at") == F.col("stays"), "left_semi").select("row.*")
+    flat = rows.select(
+        F.struct(F.col(f"row.{id_column}").isNull().alias("unnamed"), F.col(f"row.{id_column}").alias("doc_id"), "at").alias("doc_id"),
+        F.col(f"row.{text_column}").alias("text"),
+    )
+    gone = near(flat).where("doc_id.at != component_id.at").select(F.col("doc_id.at").alias("gone"))
+    return rows.join(gone, F.col("at") == F.col("gone"), "left_anti").select("row.*")
 
 
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
