@@ -1,0 +1,59 @@
+"""The whole job: what the operators' own final checks would report is found."""
+
+from llm.common import prose, table
+
+from tidemark.llm import semantic
+
+
+def words_of(text):
+    return [w.strip(semantic.MARKS) for w in text.lower().split()]
+
+
+def common(a, b):
+    """Longest common subsequence, by the table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    return row[-1]
+
+
+def leaked(text, item):
+    """The checks over every stretch of the text, plainly."""
+    t, w, answer = words_of(text), words_of(item), words_of(item.split(". ")[-1])
+    width = len(w) + 2 * max(4, len(w) // 4)
+    for s in range(max(1, len(t) - width + 1)):
+        part = t[s : s + width]
+        share = common(w, part) / len(w)
+        there = any(part[k : k + len(answer)] == answer for k in range(len(part)))
+        if share >= 0.8 or (share >= 0.6 and there):
+            return True
+    return False
+
+
+def found(spark, texts, items):
+    docs = table(spark, [(i, t, "s") for i, t in texts.items()])
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in semantic.matched(docs, bench).collect()}
+
+
+def test_spread_changes_are_found(spark):
+    """Words inserted, deleted and replaced throughout an item, at all alignments, against a search of every stretch."""
+    items = {k: f"{prose(100 + k, n - 6)}. {prose(200 + k, 6)}." for k, n in enumerate([24, 31, 38, 45, 52, 59])}
+    changes = {
+        "insert": lambda k, w: [w, f"new{k}"] if k % 5 == 4 else [w],
+        "delete": lambda k, w: [] if k % 6 == 5 else [w],
+        "replace": lambda k, w: [f"other{k}"] if k % 6 == 2 else [w],
+        "most": lambda k, w: [f"other{k}"] if k % 3 == 0 else [w],  # too many
+    }
+    texts, want, at = {}, set(), 0
+    for k, item in items.items():
+        for change in changes.values():
+            for shift in range(4):
+                inner = " ".join(x for i, w in enumerate(item.split()) for x in change(i, w))
+                texts[at] = f"{prose(1000 + at, 20 + shift)} {inner} {prose(2000 + at, 25)}"
+                want |= {(at, k)} if leaked(texts[at], item) else set()
+                at += 1
+    assert len(want) >= 72
+    assert found(spark, texts, items) == want
