@@ -57,3 +57,20 @@ def test_spread_changes_are_found(spark):
                 at += 1
     assert len(want) >= 72
     assert found(spark, texts, items) == want
+
+
+def test_tails_with_the_answer_are_found(spark):
+    """The last 0.6 of an item with its answer, or its end and every other word before, at all alignments."""
+    items = {k: f"{prose(100 + k, n - 6)}. {prose(200 + k, 6)}." for k, n in enumerate([8, 12, 18, 30, 35, 45])}
+    texts, want = {}, set()
+    for k, item in items.items():
+        w = item.split()
+        tail = w[len(w) * 2 // 5 :]
+        ends = [x if i >= len(w) - 10 or i % 2 else f"other{i}" for i, x in enumerate(w)]
+        for number, inner in enumerate((tail, ends)):
+            for shift in range(4):
+                at = 100 * k + 10 * number + shift
+                texts[at] = f"{prose(1000 + at, 20 + shift)} {' '.join(inner)} {prose(2000 + at, 25)}"
+                want |= {(at, k)} if leaked(texts[at], item) else set()
+    assert len(want) >= 40
+    assert found(spark, texts, items) == want
