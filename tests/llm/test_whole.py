@@ -74,3 +74,16 @@ def test_tails_with_the_answer_are_found(spark):
                 want |= {(at, k)} if leaked(texts[at], item) else set()
     assert len(want) >= 40
     assert found(spark, texts, items) == want
+
+
+def test_short_items_are_found_as_they_are(spark):
+    """Items of under eight words, and of scripts without spaces, whole in a text."""
+    long = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60)) + "。答案是北京。"
+    items = {1: "Who wrote Emma? Austen.", 2: "Paris", 3: "谁写了它？鲁迅。", 4: long, 5: " . ", 6: "2 + 2?"}
+    texts = {
+        10: f"{prose(1, 30)} who wrote emma? (Austen) {prose(2, 30)}", 11: "who wrote Emma? Not Austen.", 12: "comparison parisian",
+        13: f"{prose(3, 9)} PARIS, {prose(4, 9)}", 14: "问题：谁写了它？鲁迅。对吗？", 15: "谁写了它？不是鲁迅。",
+        16: f"前面的话{long}后面的话", 17: "前面的话" + long[:20] + "其他" + long[22:], 18: f"前面的话{long[:20]}后面的话", 19: ". . .",
+        20: "who wrote", 21: "Emma? Austen.", 22: "so 2 + 2? yes", 23: None,
+    }
+    assert found(spark, texts, items) == {(10, 1), (13, 2), (14, 3), (16, 4), (17, 4), (22, 6)}
