@@ -1,8 +1,9 @@
 """The whole job: what the operators' own final checks would report is found."""
 
+import pytest
 from llm.common import prose, table
 
-from tidemark.llm import semantic, simhash
+from tidemark.llm import mixing, semantic, simhash
 
 
 def words_of(text):
@@ -105,3 +106,15 @@ def test_near_duplicates_at_exactly_the_threshold(spark):
         gone.add(10 * k + 1)
     kept = {r.doc_id for r in simhash.kept_rows(table(spark, [(i, t, "s") for i, t in texts.items()])).collect()}
     assert (sorted(gone & kept), sorted(texts.keys() - gone - kept)) == ([], [])
+
+
+def test_bins_of_a_source_stay_small(spark):
+    """No group of the sampling's window holds much of a source: whole copies, odds near 0 and 1, and a mixture."""
+    copies = {0: "2.0D", 1: "1.00001D", 2: "0.99999D", 3: "0.5D", 4: "if(id % 2 = 0, 0.001D, 3.0D)"}
+    rows_ = spark.range(20_000).selectExpr("id doc_id", "10L size", "0 place", "2.0D copies").limit(0)
+    for place, value in copies.items():
+        rows_ = rows_.unionByName(spark.range(20_000).selectExpr("id doc_id", "10L size", f"{place} place", f"{value} copies"))
+    got = mixing.sampled(rows_)
+    assert max(r["count"] for r in got.groupBy("place", "bin").count().collect()) <= 60
+    taken = {r.place: r.n for r in got.groupBy("place").agg({"times": "sum"}).withColumnRenamed("sum(times)", "n").collect()}
+    assert taken == pytest.approx({0: 40_000, 1: 20_000, 2: 20_000, 3: 10_000, 4: 30_010}, abs=1)

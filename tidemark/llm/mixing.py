@@ -15,8 +15,10 @@ Cases. A null text has no words and is taken 0 words. Ties in rank go by identif
 interchangeable. Null sources are one source. A source without words has target 0. Empty table: no rows.
 `mixed` reads only the columns named.
 
-Plan. Ranks fall into 4096 bins of rank / (1 + rank); words before a bin are sums over at most 4096 rows
-for each source, words within it a window by source and bin, so no task holds a whole source.
+Plan. Ranks fall into bins by their logarithm, 512 to a unit. It is logistic for each p, its density at most 1/4, so about
+1/2048 of a source's rows or fewer share a bin, whatever p is. Rows without a rank are spread over `BINS` bins of their own,
+which add no words. Words before a bin are sums over the bins of a source, words within it a window by source and bin, so
+no task holds a whole source.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import load, text_of, words_in
 
-WEIGHTS, SHARE, MOST, BINS, SEED = (3, 1, 2), 1.5, 2, 4096, "mix"
+WEIGHTS, SHARE, MOST, BINS, UNIT, SEED = (3, 1, 2), 1.5, 2, 4096, 512, "mix"
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -63,10 +65,11 @@ def sampled(rows: DataFrame, seed: str = SEED) -> DataFrame:
     ranked = (
         rows.withColumn("whole", whole).withColumn("p", F.col("copies") - F.col("whole"))
         .withColumn("rank", F.when(F.col("p") > 0, (u / (1 - u)) / odds))
-        .withColumn("bin", F.when(F.col("rank").isNotNull(), F.floor(F.col("rank") / (1 + F.col("rank")) * BINS)).otherwise(BINS))
+        .withColumn("bin", F.when(F.col("rank").isNotNull(), F.floor(F.log("rank") * UNIT)).otherwise(F.pmod(F.xxhash64("doc_id", "size"), F.lit(BINS))))
+        .withColumn("words", F.when(F.col("rank").isNotNull(), F.col("size")).otherwise(0))
         .withColumn("wanted", F.round(F.col("p") * F.col("size") * 1e6).cast("bigint"))
     )
-    bins = ranked.groupBy("place", "bin").agg(F.sum("size").alias("words"), F.sum("wanted").alias("wanted"))
+    bins = ranked.groupBy("place", "bin").agg(F.sum("words").alias("words"), F.sum("wanted").alias("wanted"))
     group = Window.partitionBy("place").orderBy("bin")
     starts = bins.select(
         "place", "bin",
@@ -74,11 +77,11 @@ def sampled(rows: DataFrame, seed: str = SEED) -> DataFrame:
         F.sum("wanted").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("room"),
     )
     inside = Window.partitionBy("place", "bin").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    twice = 2 * (F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))) + F.col("size")
+    twice = 2 * (F.col("start") + F.coalesce(F.sum("words").over(inside), F.lit(0))) + F.col("size")
     return (
         ranked.drop("wanted").join(starts, ["place", "bin"])
         .withColumn("extra", F.col("rank").isNotNull() & (twice * 500_000 <= F.col("room")))
-        .withColumn("times", F.col("whole") + F.col("extra").cast("bigint"))
+        .withColumn("times", F.col("whole") + F.col("extra").cast("bigint")).drop("words")
     )
 
 
