@@ -12,7 +12,7 @@ comes once holds no repeat; equal phrases repeat wholly; phrases that share a co
 
 Suffixes. Open phrases, each with the number of its occurrences, are parsed again with triggers 16 in a row and cores
 of 185 bytes, kept with the at most 15 bytes at either side; equal phrases repeat wholly, and for the others
-the suffixes that start at each byte are sorted and compared by content. Marks of repeated starts go back to their
+the suffixes that start at each byte are grouped by their 200 bytes and counted; no suffix array is built. Marks of repeated starts go back to their
 texts, which cover the bytes, join the rest and digest it.
 
 Cases. A null text counts as empty. Texts under 200 bytes lose nothing. Rows with equal identifier and text are two
