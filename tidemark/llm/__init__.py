@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    alignment,
     chat,
+    clustering,
     compression,
     exact,
+    lines,
     mixing,
     parsing,
     semantic,
@@ -19,7 +22,9 @@ from tidemark.llm import (
     urls,
 )
 
-MODULES = (urls, exact, compression, suffix_tree, mixing, semantic, simhash, token_counts, chat, parsing)
+MODULES = (
+    urls, exact, compression, suffix_tree, mixing, semantic, simhash, token_counts, chat, parsing, alignment, clustering, lines,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

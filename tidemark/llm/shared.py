@@ -41,16 +41,18 @@ def located(docs: DataFrame) -> DataFrame:
 
     Rows that don't come straight from Parquet files are written to the shared folder first.
     """
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("index")
-    ).alias("at")
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        place = rows.metadataColumn("_metadata")  # the files', also beside a column of that name
+        return rows.select(whole, F.struct(place["file_path"].alias("file"), place["row_index"].alias("index")).alias("at"))
+
     try:
-        return docs.select(whole, place)
+        return placed(docs)
     except Exception as error:
         if "UNRESOLVED_COLUMN" not in str(error):
             raise
-    return saved(docs).select(whole, place)
+    return placed(saved(docs))
 
 
 def text_of(column: str = "text") -> Column:
