@@ -48,7 +48,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "EqualTo(event_type,view)" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,props:string>" in text
     text = plan(contract.queries()["word_count"](spark, FOLDER))
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+    assert "ReadSchema: struct<text:string>" in text
 
 
 def test_top_is_pruned_before_the_exchange(spark):

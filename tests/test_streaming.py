@@ -6,10 +6,12 @@ from datetime import datetime, timedelta
 from conftest import on
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import gating, patterns, ranking, windows, words
 from tidemark.sinks import streams
 from tidemark.streaming import events, gating as stream_gating, patterns as stream_patterns, words as stream_words
+from tidemark.streaming.ordered import InOrder
 
 START = datetime(2024, 1, 1)
 END = datetime(2100, 1, 1)
@@ -151,14 +153,9 @@ def test_gate_by_clock(spark, replay, watch):
     assert watch(stream_gating.gated_by_clock(readings, switches, "key"), 1) == [("a", 2)]
 
 
-class Held:
-    """One state value or timer set of a key, for running a processor by hand."""
-
+class Value:
     def __init__(self):
-        self.value, self.timers = None, set()
-
-    def getValueState(self, name, schema):
-        return self
+        self.value = None
 
     def get(self):
         return self.value
@@ -169,9 +166,50 @@ class Held:
     def clear(self):
         self.value = None
 
+
+class Map:
+    """Map state that counts how many rows it has handed out."""
+
+    def __init__(self):
+        self.parts, self.read = {}, 0
+
+    def getValue(self, key):
+        self.read += len(self.parts[key][0])
+        return self.parts[key]
+
+    def updateValue(self, key, value):
+        self.parts[key] = value
+
+    def removeKey(self, key):
+        del self.parts[key]
+
+
+class Held:
+    """The state of a key, for running a processor by hand."""
+
+    def __init__(self):
+        self.timers, self.values, self.map = set(), {}, Map()
+
+    def getValueState(self, name, schema):
+        return self.values.setdefault(name, Value())
+
+    def getMapState(self, name, key, value):
+        return self.map
+
     def registerTimer(self, at):
         self.timers.add(at)
 
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def fire(self, processor, now):
+        """What is put out when the timers up to `now` fire."""
+        out = []
+        for at in sorted(at for at in self.timers if at <= now):
+            out += processor.handleExpiredTimer(("a",), Clock(now), None)
+            self.timers.remove(at)
+        return out
+
 
 class Clock:
     def __init__(self, now):
@@ -180,6 +218,8 @@ class Clock:
     def getCurrentProcessingTimeInMs(self):
         return self.now
 
+    getCurrentWatermarkInMs = getCurrentProcessingTimeInMs
+
 
 def test_clock_gate_extends_and_expires():
     state, gate = Held(), stream_gating.ProcessingTimeGate("key", ["n"])
@@ -195,13 +235,56 @@ def test_clock_gate_extends_and_expires():
     assert state.timers == {1010}
     assert at(1005, (switch, 2), (reading, 3)) == [3]
     assert state.timers == {1010}
-    assert at(1005, (switch, 10)) == []
-    assert state.timers == {1010, 1015}
-    list(gate.handleExpiredTimer(("a",), Clock(1011), None))
-    assert at(1014, (reading, 4)) == [4]
-    assert at(1015, (reading, 5)) == []
-    list(gate.handleExpiredTimer(("a",), Clock(1016), None))
-    assert state.value is None
+    for now in range(1005, 1501, 5):  # many extensions, one live timer
+        assert at(now, (switch, 10)) == []
+        assert state.timers == {now + 10}
+    assert state.fire(gate, 1509) == []
+    assert at(1509, (reading, 4)) == [4]
+    assert at(1510, (reading, 5)) == []
+    state.fire(gate, 1511)
+    assert state.timers == set() and state.values["alarm"].value is None
+
+
+HELD_ROWS = T.StructType([T.StructField("_at", T.LongType()), T.StructField("n", T.LongType())])
+
+
+class Handed(InOrder):
+    """Puts rows out as they are handed on."""
+
+    def ready(self, key, rows, passed):
+        for row in rows:
+            assert row["_at"] < passed
+            yield row["n"]
+
+
+def test_held_rows_are_read_once():
+    """20,000 rows held over 2,000 buckets while the watermark goes on 500 times: each is read once, in order."""
+    state, keeper = Held(), Handed(HELD_ROWS, ("n",))
+    keeper.init(state)
+    draw, out, n = random.Random(7), [], 0
+    for step in range(500):
+        rows = []
+        for _ in range(40):
+            rows.append(Row(_at=step * 1_000_000 + draw.randrange(2_000_000_000), n=n))
+            n += 1
+        list(keeper.handleInputRows(("a",), iter(rows), Clock(0)))
+        assert len(state.timers) == 1
+        out += state.fire(keeper, step * 1000 - 1)
+    held = sum(len(part[0]) for part in state.map.parts.values())
+    assert len(out) + held == n and held > 10_000 and state.map.read == len(out)
+    out += state.fire(keeper, 10_000_000)
+    assert len(out) == len(set(out)) == n and state.map.read == n
+    assert not state.map.parts and not state.timers and state.values["pending"].value is None
+
+
+def test_parts_of_a_bucket_come_in_order():
+    state, keeper = Held(), Handed(HELD_ROWS, ("n",))
+    keeper.init(state)
+    rows = [Row(_at=5_000_000 + k % 7, n=k) for k in range(2500)]  # three parts of one bucket
+    list(keeper.handleInputRows(("a",), iter(rows), Clock(0)))
+    assert len(state.map.parts) == 3 and state.timers == {6000}
+    assert state.fire(keeper, 5999) == []
+    assert state.fire(keeper, 6000) == [r.n for r in sorted(rows, key=lambda r: (r._at, r.n))]
 
 
 def test_outputs_of_one_pass(spark, replay, tmp_path):

@@ -30,21 +30,24 @@ def gated(
     A key is cut into blocks of time, so a busy one spreads over tasks; the latest end is carried from
     block to block, whatever the lengths of the switches.
     """
-    kind = readings.schema[key].dataType
-    at, width = times.to_micros(F.col(ts)), times.span_micros(block)
+    at = times.to_micros(F.col(ts))
+    ends = switches.select(
+        F.col(key).cast(readings.schema[key].dataType).alias(key), at.alias("_at"), open_end(at, F.col(duration_ms)).alias("_end")
+    )
+    return passing(readings, ends, key, ts, block)
+
+
+def passing(readings: DataFrame, ends: DataFrame, key: str, ts: str = "ts", block: times.Span = "1 hour") -> DataFrame:
+    """`gated` by switches given as their begin `_at` and end `_end` in microseconds."""
     marked = readings.select(
-        F.col(key), at.alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("_end"),
-        F.struct(*readings.columns).alias("_row"),
+        F.col(key), times.to_micros(F.col(ts)).alias("_at"), F.lit(1).alias("_kind"),
+        F.lit(None).cast("bigint").alias("_end"), F.struct(*readings.columns).alias("_row"),
+    )
+    opened = ends.where(F.col("_end") > F.col("_at")).select(
+        key, "_at", F.lit(0).alias("_kind"), "_end", F.lit(None).cast(marked.schema["_row"].dataType).alias("_row")
     )
-    ends = switches.select(
-        F.col(key).cast(kind).alias(key),
-        at.alias("_at"),
-        F.lit(0).alias("_kind"),
-        open_end(at, F.col(duration_ms)).alias("_end"),
-        F.lit(None).cast(marked.schema["_row"].dataType).alias("_row"),
-    ).where(F.col("_end") > F.col("_at"))
     timeline = running.running(
-        marked.unionByName(ends), [key], ORDER, F.col("_end"), UNTIL, running.MAX, F.col("_at"), (width,)
+        marked.unionByName(opened), [key], ORDER, F.col("_end"), UNTIL, running.MAX, F.col("_at"), (times.span_micros(block),)
     )
     return timeline.where((F.col("_kind") == 1) & (F.col(UNTIL) > F.col("_at"))).select("_row.*")
 

@@ -69,23 +69,23 @@ def hot_items_report(ranked: DataFrame, n: int) -> DataFrame:
 
     A group is at most `n` rows, so the text stays small.
     """
-    end = times.to_millis(F.col("window_end"))
-    line = F.format_string(ITEM_LINE, "rank", "item_id", "view_count", end)
-    texts = (
-        ranked.where(F.col("rank") <= n)
-        .groupBy("window_end")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", line.alias("line")))).alias("rows"))
-    )
-    report = F.concat(
+    entry = F.struct("rank", "item_id", "view_count")
+    texts = ranked.where(F.col("rank") <= n).groupBy("window_end").agg(F.array_sort(F.collect_list(entry)).alias("rows"))
+    return texts.select("window_end", hot_items_text(F.col("window_end"), F.col("rows")).alias("report"))
+
+
+def hot_items_text(window_end: Column, rows: Column) -> Column:
+    """The report of one window from its rows (rank, item_id, view_count) in order."""
+    end = times.to_millis(window_end)
+    return F.concat(
         F.lit(RULE + "TimeStamp: "),
         end.cast("string"),
         F.lit("\n" + TIME_LABEL),
-        times.timestamp_text(F.col("window_end")),
+        times.timestamp_text(window_end),
         F.lit("\n"),
-        F.array_join(F.transform("rows", lambda r: r["line"]), ""),
+        F.array_join(F.transform(rows, lambda r: F.format_string(ITEM_LINE, r["rank"], r["item_id"], r["view_count"], end)), ""),
         F.lit(RULE + "\n"),
     )
-    return texts.select("window_end", report.alias("report"))
 
 
 def traffic_report_lines(ranked: DataFrame, total: str) -> DataFrame:

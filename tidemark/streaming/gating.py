@@ -12,9 +12,11 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidemark.functions import times
 from tidemark.operators.gating import NEVER, open_end
-from tidemark.streaming.ordered import AT, InOrder
+from tidemark.streaming.ordered import AT, Alarm, InOrder
 
 SWITCH, READING = 0, 1
+# The state variable of the latest end among a key's switches.
+UNTIL = "until"
 # The last millisecond that a time in microseconds can hold; a switch by the clock ends there at the latest.
 LAST_MS = NEVER // 1000
 
@@ -28,11 +30,10 @@ class EventTimeGate(InOrder):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.until = handle.getValueState("until", "at bigint")
+        self.until = handle.getValueState(UNTIL, "at bigint")
 
-    def ready(self, key: Any, rows: list[dict[str, Any]], passed: int) -> Iterator[Row]:
-        state = self.until.get()
-        until = state[0] if state else None
+    def ready(self, key: Any, rows: Iterator[dict[str, Any]], passed: int) -> Iterator[Row]:
+        until = self.later()
         for row in rows:
             if row["_kind"] == SWITCH:
                 until = row["_end"] if until is None else max(until, row["_end"])
@@ -42,26 +43,29 @@ class EventTimeGate(InOrder):
             self.until.clear()
         else:
             self.until.update((until,))
-            self.wake(until)
+
+    def later(self) -> int | None:
+        state = self.until.get()
+        return state[0] if state else None
 
 
 class ProcessingTimeGate(StatefulProcessor):
     """Passes a reading while a switch that arrived before it is still on by the clock.
 
     A switch turns the key on from its arrival for its duration; a later one may extend that, never
-    shorten it. Rows count in the order they arrive.
+    shorten it. Rows count in the order they arrive. An extension deletes the timer that stood and sets
+    its own, so a key has one timer however often it is extended.
     """
 
     def __init__(self, key: str, payload: list[str]):
         self.key, self.payload = key, payload
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.until = handle.getValueState("until", "at bigint")
+        self.alarm = Alarm(handle)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        state = self.until.get()
+        state = self.alarm.at.get()
         before = until = state[0] if state else 0
         for row in rows:
             if row["_kind"] == SWITCH:
@@ -69,14 +73,11 @@ class ProcessingTimeGate(StatefulProcessor):
             elif now < until:
                 yield Row(**{self.key: key[0], **{c: row[c] for c in self.payload}})
         if until > before:
-            self.until.update((until,))
-            self.handle.registerTimer(until)
+            self.alarm.set(until)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        """Forget a key that is off; a timer set before an extension finds it still on."""
-        state = self.until.get()
-        if state and state[0] <= timerValues.getCurrentProcessingTimeInMs():
-            self.until.clear()
+        """The key is off: nothing is kept of it."""
+        self.alarm.set(None, fired=True)
         return iter(())
 
 

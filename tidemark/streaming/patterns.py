@@ -12,26 +12,26 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from tidemark.functions import times
 from tidemark.operators.patterns import SUCCESS, TIMEOUT
-from tidemark.streaming.ordered import AT, InOrder
-
+from tidemark.streaming.ordered import AT, BUCKET, InOrder
 
 NEXT = "_next_"
+# The state variable of the event that waits for its successor.
+FIRST = "first"
 
 
 class NextEvent(InOrder):
     """Decides each first event by the next event of its key, or by none coming within the bound."""
 
-    def __init__(self, key: str, held: T.StructType, tie: tuple[str, ...], bound: int):
-        super().__init__(held, tie)
+    def __init__(self, key: str, held: T.StructType, tie: tuple[str, ...], bound: int, bucket: int = BUCKET):
+        super().__init__(held, tie, bucket)
         self.key, self.bound = key, bound
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.first = handle.getValueState("first", self.held)
+        self.first = handle.getValueState(FIRST, self.held)
 
-    def ready(self, key: Any, rows: list[dict[str, Any]], passed: int) -> Iterator[Row]:
-        state = self.first.get()
-        first = dict(zip(self.names, state)) if state else None
+    def ready(self, key: Any, rows: Iterator[dict[str, Any]], passed: int) -> Iterator[Row]:
+        first = self._first()
         for row in rows:
             if first:
                 if row[AT] - first[AT] >= self.bound:
@@ -44,10 +44,17 @@ class NextEvent(InOrder):
             first = None
         if first:
             self.first.update(tuple(first[name] for name in self.names))
-            self.wake(first[AT] + self.bound)
         else:
             self.first.clear()
 
+    def later(self) -> int | None:
+        first = self._first()
+        return first[AT] + self.bound if first else None
+
+    def _first(self) -> dict[str, Any] | None:
+        state = self.first.get()
+        return dict(zip(self.names, state)) if state else None
+
     def _result(self, key: Any, first: dict, second: dict | None, result: str) -> Row:
         shown = [name for name in self.names if name not in ("_first", "_second")]
         begun = {name: first[name] for name in shown}
