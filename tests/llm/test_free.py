@@ -177,55 +177,6 @@ def test_simhash_cases(spark):
     assert simhash.kept_rows(table(spark, [])).collect() == []
 
 
-def shingled(text):
-    """Distinct shingles of 5 words, written plainly."""
-    w = text.encode().lower().split()
-    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-
-
-def changed(text, seed, every):
-    """The text with one word in `every` replaced, at random."""
-    pick = np.random.default_rng(seed)
-    w = text.split()
-    for k in pick.choice(len(w), max(1, len(w) // every), replace=False):
-        w[k] = f"new{seed}{k}"
-    return " ".join(w)
-
-
-@pytest.mark.parametrize("cell", [8192, 4])
-def test_near_duplicates_by_similarity(spark, cell):
-    """Similar texts link and others don't; only the band around 0.8 is open, the estimate's error."""
-    texts = {k: prose(k, 60 + 40 * (k % 12)) for k in range(60)}
-    for k in range(240):
-        texts[100 + k] = changed(texts[k % 60], k, (30, 60, 100, 8)[k // 60])
-    texts |= {900: None, 901: " ", 902: "a b", 903: "A  b", 904: "a c"}
-    got = {r.doc_id: r.component_id for r in simhash.near(table(spark, [(i, t, "s") for i, t in texts.items()]), cell=cell).collect()}
-    assert got.keys() == texts.keys()
-    sets = {i: shingled(t or "") for i, t in texts.items()}
-    sure, open_ = {i: i for i in texts}, {i: i for i in texts}
-
-    def top(root, x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids = sorted(texts)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
-            both = len(sets[a] | sets[b])
-            j = len(sets[a] & sets[b]) / both if both else 1.0
-            for root, least in ((sure, 0.92), (open_, 0.68)):
-                if j >= least:
-                    x, y = sorted((top(root, a), top(root, b)))
-                    root[y] = x
-    assert all(got[i] == got[top(sure, i)] for i in ids)
-    assert all(top(open_, i) == top(open_, got[i]) for i in ids)
-    # Every link of the fingerprints themselves is found.
-    fps = simhash.near_fingerprints(table(spark, [(i, t, "s") for i, t in texts.items()])).collect()
-    words_ = {r.doc_id: int.from_bytes(r.fp, "little") for r in fps}
-    assert all(got[a] == got[b] for a in ids for b in ids if (words_[a] ^ words_[b]).bit_count() <= simhash.NEAR_APART)
-
-
 def test_simhash_on_documents(spark, documents):
     fps = [(i, plain_fingerprint(t)) for i, t in sorted(documents.items())]
     want = dict(zip(documents and [i for i, _ in fps], plain_components(fps), strict=True))

@@ -3,7 +3,7 @@
 import pytest
 from llm.common import prose, table
 
-from tidemark.llm import mixing, semantic, simhash
+from tidemark.llm import mixing, semantic
 
 
 def words_of(text):
@@ -90,24 +90,6 @@ def test_short_items_are_found_as_they_are(spark):
     assert found(spark, texts, items) == {(10, 1), (13, 2), (14, 3), (16, 4), (17, 4), (22, 6)}
 
 
-def sharing(n, changed_, seed):
-    """Two texts of n + 4 distinct words, the second's last `changed_` words new: shingles shared are n - changed_ of n + changed_."""
-    w = [f"w{seed}x{k}" for k in range(n + 4)]
-    return " ".join(w), " ".join([*w[: n + 4 - changed_], *(f"new{seed}x{k}" for k in range(changed_))])
-
-
-def test_near_duplicates_at_exactly_the_threshold(spark):
-    """Pairs at a similarity of 0.8 lose a row, pairs just below it none, and below-threshold pairs don't chain."""
-    texts, gone = {}, set()
-    for k in range(40):
-        n = 90 + 9 * (k % 5)
-        texts[10 * k], texts[10 * k + 1] = sharing(n, n // 9, 2 * k)  # 8/9 n of 10/9 n: 0.8
-        texts[10 * k + 2], texts[10 * k + 3] = sharing(n, n // 9 + 1, 2 * k + 1)  # below
-        gone.add(10 * k + 1)
-    kept = {r.doc_id for r in simhash.kept_rows(table(spark, [(i, t, "s") for i, t in texts.items()])).collect()}
-    assert (sorted(gone & kept), sorted(texts.keys() - gone - kept)) == ([], [])
-
-
 def test_bins_of_a_source_stay_small(spark):
     """No group of the sampling's window holds much of a source: whole copies, odds near 0 and 1, and a mixture."""
     copies = {0: "2.0D", 1: "1.00001D", 2: "0.99999D", 3: "0.5D", 4: "if(id % 2 = 0, 0.001D, 3.0D)"}

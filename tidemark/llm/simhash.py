@@ -13,18 +13,7 @@ by a search that gives at most one link for each member, enough for reachability
 make all their pairs. An anchor with over `CELL` members is dealt out by pairs of blocks of its members, so each
 task holds two blocks and no link is lost. Components are found in rounds over the links.
 
-Near-duplicates (`near`). 3 bits of 64 hold copies with hardly a word changed. Copies by similarity, 0.8 or
-more of the distinct shingles of 5 words in common (Jaccard), take a longer fingerprint of 224 bits in 8 blocks of 28. A
-bit there is the vote of one shingle, the first in an order of the bit's own, so that two texts differ in a share
-(1 - similarity) / 2 of the bits: they link at 22 bits (10%) or fewer. Then one block differs in 2 bits or fewer, and as
-two words 2 apart always have an anchor within 2 of both, no link is lost. The similarity is thus estimated, with a
-standard error of 0.04 at 0.8. Texts whose sets of shingles are equal always link.
-
-Exact similarity (`similar`, `kept_rows`). The links of `near` are candidates only: each is confirmed by the Jaccard
-similarity of the two sets of shingles, 64-bit hashes made again from the texts. What the fingerprints miss is completed: two
-sets of similarity 0.8 share one of the first n - ceil(0.8 n) + 1 shingles of each in any one order (by hash; shingles found
-often in a sample of the texts come last), so pairs that meet there, may reach 0.8 by their sizes and places and are not
-in one component yet, are compared too. Components are over confirmed links alone, and no pair at 0.8 or more is lost.
+The pipeline's stage (`kept_rows`) keeps one row of each component, with these shingles and this distance.
 
 Cases. Null and empty texts have fingerprint 0, linked like any other. A null identifier is no component's name unless
 all its members are null. Repeated rows are linked to each other. Other columns are not read. An empty table: no rows.
@@ -39,17 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import coded, one, slices, words
+from tidemark.llm.batches import one, slices
 from tidemark.llm.components import components
 from tidemark.llm.shared import load, located, saved
 
 SHINGLE, SEED, APART, CELL = 3, 42, 3, 8192
 LOW = np.uint64(0xFFFFFFFF)
-#: Near-duplicates: words of a shingle, bits apart, and the blocks' bits: 1 to 28 of each half of four 64-bit words.
-NEAR_SHINGLE, NEAR_APART, NEAR_BITS = 5, 22, [half + bit for half in (0, 32) for bit in range(1, 29)]
-NEAR_WORDS = 4
-#: The least similarity of near-duplicates as a fraction, and one in how many texts tells frequent shingles.
-SIMILAR, SAMPLE = (4, 5), 16
 
 
 def fingerprint(text: bytes) -> int:
@@ -103,73 +87,8 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return rows.mapInArrow(make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
-def near_fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and fp (32 bytes, of which 224 bits are used) of every row, for near-duplicates."""
-    import xxhash
-
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in slices(batches):
-            values, sizes = words(one(table["text"]))
-            distinct, codes = coded(values)
-            digests = np.array([xxhash.xxh64_intdigest(word, SEED) for word in distinct.to_pylist()], np.uint64)[codes]
-            ends = np.cumsum(sizes)
-            votes = [voted(shingle_digests(digests[end - size : end])) for end, size in zip(ends, sizes, strict=True)]
-            yield pa.record_batch({"doc_id": one(table["doc_id"]), "fp": as_column(np.array(votes, np.uint64), pa.binary())})
-
-    return rows.mapInArrow(make, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp binary")
-
-
-def mixed_bits(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (the finaliser of a common random generator)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingle_digests(digests: np.ndarray) -> np.ndarray:
-    """Distinct 32-bit digests of the shingles of a text, from those of its words; a short text is one shingle."""
-    return np.unique((shingle_hashes(digests) >> np.uint64(32)).astype(np.uint32))
-
-
-def shingle_hashes(digests: np.ndarray) -> np.ndarray:
-    """Distinct 64-bit hashes of the shingles, rising."""
-    if not len(digests):
-        return np.empty(0, np.uint64)
-    width = min(NEAR_SHINGLE, len(digests))
-    out = np.zeros(len(digests) - width + 1, np.uint64)
-    for k in range(width):
-        out = mixed_bits(out + digests[k : k + len(out)])
-    return np.unique(out)
-
-
-def voted(shingles: np.ndarray) -> np.ndarray:
-    """The fingerprint: for each bit, the vote of the shingle that comes first in the bit's order."""
-    out = np.zeros(NEAR_WORDS, np.uint64)
-    if not len(shingles):
-        return out
-    number = np.random.default_rng(SEED).integers(0, 1 << 32, (2, NEAR_WORDS * len(NEAR_BITS)), dtype=np.uint32)
-    times, plus = number[0] | np.uint32(1), number[1]
-    first = np.full(len(times), 0xFFFFFFFF, np.uint32)
-    for begin in range(0, len(shingles), 256):  # pieces that stay in the cache
-        first = np.minimum(first, (shingles[begin : begin + 256, None] * times + plus).min(axis=0))
-    # An order's number names its shingle; one of its bits, mixed, is the shingle's vote.
-    vote = (mixed_bits(first.astype(np.uint64)) & np.uint64(1)).reshape(NEAR_WORDS, -1)
-    return (vote << np.array(NEAR_BITS, np.uint64)).sum(axis=1, dtype=np.uint64)
-
-
-def as_words(column: pa.Array) -> np.ndarray:
-    """Fingerprints, longs or binaries, as rows of 64-bit words."""
-    if pa.types.is_binary(column.type):
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
-    return column.to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
-
-
-def as_column(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-    if pa.types.is_binary(kind):
-        return pa.array([row.tobytes() for row in np.ascontiguousarray(values)], kind)
-    return pa.array(np.ascontiguousarray(values[:, 0]).view(np.int64))
+def unsigned(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
 def syndrome(half: np.ndarray) -> np.ndarray:
@@ -203,14 +122,14 @@ def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys).view(np.int64)
 
 
-def linked(values: np.ndarray, apart: int = APART) -> list[tuple[int, int]]:
-    """Links (by row) that join what is reachable among the rows of words at most `apart` bits apart; fewer than rows."""
+def linked(values: np.ndarray) -> list[tuple[int, int]]:
+    """Links (by place) that join what is reachable among fingerprints at most APART bits apart; fewer than those."""
     links, left = [], np.arange(len(values))
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             here = queue.pop()
-            near = np.bitwise_count(values[left] ^ values[here]).sum(axis=1) <= apart
+            near = np.bitwise_count(values[left] ^ values[here]) <= APART
             if near.any():
                 found = left[near]
                 links += [(int(here), int(x)) for x in found]
@@ -219,29 +138,22 @@ def linked(values: np.ndarray, apart: int = APART) -> list[tuple[int, int]]:
     return links
 
 
-def links(fps: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
-    """a and b: links between distinct fingerprints `fp` at most `apart` bits apart, enough for reachability.
-
-    Fingerprints are longs (any two at most 3 bits apart meet at an anchor) or binaries of several words.
-    """
-    kind = fps.schema["fp"].dataType.simpleString()
-    arrow = pa.binary() if kind == "binary" else pa.int64()
+def links(fps: DataFrame, cell: int = CELL) -> DataFrame:
+    """a and b: links between distinct fingerprints `fp` at most APART bits apart, enough for reachability."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 5_000):
-                column = batch.column("fp").slice(begin, 5_000)
-                values = as_words(column)
-                for word in range(values.shape[1]):
-                    rows, keys = anchors(np.ascontiguousarray(values[:, word]))
-                    yield pa.record_batch({"anchor": pa.array(keys + (word << 32)), "fp": column.take(pa.array(rows))})
+                values = unsigned(batch.column("fp").slice(begin, 5_000))
+                rows, keys = anchors(values)
+                yield pa.record_batch({"anchor": pa.array(keys), "fp": pa.array(values[rows].view(np.int64))})
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by anchor and blocks; a group that a batch cuts is carried on."""
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("anchor", "i", "j")], axis=1)
-            held.append((keys, as_words(batch.column("fp"))))
+            held.append((keys, unsigned(batch.column("fp"))))
             if (keys[0] == keys[-1]).all() and (held[0][0][-1] == keys[-1]).all():
                 continue
             keys, values = (np.concatenate(part) for part in zip(*held, strict=True))
@@ -258,16 +170,16 @@ def links(fps: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
         sizes = np.diff(np.append(starts, len(keys)))
         two = starts[sizes == 2]
-        near = two[np.bitwise_count(values[two] ^ values[two + 1]).sum(axis=1) <= apart]
+        near = two[np.bitwise_count(values[two] ^ values[two + 1]) <= APART]
         found = [np.stack([near, near + 1], axis=1)]
         for start, size in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
-            found.append(start + np.array(linked(values[start : start + size], apart), np.int64).reshape(-1, 2))
+            found.append(start + np.array(linked(values[start : start + size]), np.int64).reshape(-1, 2))
         pairs = np.concatenate(found)
         for begin in range(0, len(pairs), 20_000):
             part = pairs[begin : begin + 20_000]
-            yield pa.record_batch({"a": as_column(values[part[:, 0]], arrow), "b": as_column(values[part[:, 1]], arrow)})
+            yield pa.record_batch({side: pa.array(values[part[:, k]].view(np.int64)) for k, side in enumerate("ab")})
 
-    members = fps.select("fp").mapInArrow(spread, f"anchor long, fp {kind}")
+    members = fps.select("fp").mapInArrow(spread, "anchor long, fp long")
     large = saved(  # seldom any; written, so that its size is known to the join
         members.groupBy("anchor").count().where(F.col("count") > cell)
         .select("anchor", F.ceil(F.col("count") / (cell / 2)).cast("long").alias("blocks"))
@@ -281,16 +193,16 @@ def links(fps: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
     )
     return (
         met.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
-        .mapInArrow(compare, f"a {kind}, b {kind}")
+        .mapInArrow(compare, "a long, b long")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
-def named(rows: DataFrame, cell: int = CELL, apart: int = APART) -> DataFrame:
+def named(rows: DataFrame, cell: int = CELL) -> DataFrame:
     """`rows` (doc_id and fp) with component_id, the smallest identifier reachable."""
     rows = saved(rows)
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(distinct, cell, apart))
+    roots = components(links(distinct, cell))
     reached = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = reached.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(reached.join(names, "root").select("fp", "component_id"), "fp")
@@ -302,149 +214,14 @@ def grouped(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     return named(fingerprints(docs, id_column, text_column), cell).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", cell: int = CELL) -> DataFrame:
-    """doc_id and component_id of every row, near-duplicates by shingles of 5 words linked."""
-    return named(near_fingerprints(docs, id_column, text_column), cell, NEAR_APART).select("doc_id", "component_id")
-
-
-def text_shingles(table: pa.Table) -> list[np.ndarray]:
-    """The shingle hashes of every text, rising."""
-    import xxhash
-
-    values, sizes = words(one(table["text"]))
-    distinct, codes = coded(values)
-    digests = np.array([xxhash.xxh64_intdigest(word, SEED) for word in distinct.to_pylist()], np.uint64)[codes]
-    ends = np.cumsum(sizes)
-    return [shingle_hashes(digests[end - size : end]) for end, size in zip(ends, sizes, strict=True)]
-
-
-def frequent(texts: DataFrame, sample: int = SAMPLE, often: int = CELL) -> np.ndarray:
-    """Shingles in more than about `often` texts, by a sample; at most one for `often` shingles of the corpus."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in slices(batches):
-            found = text_shingles(table)
-            yield pa.record_batch({"shingle": pa.array(np.concatenate(found).view(np.int64))})
-
-    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select("text").mapInArrow(spread, "shingle long")
-    found = some.groupBy("shingle").count().where(F.col("count") > often // sample).select("shingle").toArrow()
-    return np.sort(found["shingle"].to_numpy().view(np.uint64))
-
-
-def similar(flat: DataFrame, cell: int = CELL) -> DataFrame:
-    """doc_id and component_id of every row of doc_id (a struct with `at`, the place of the row) and text.
-
-    Texts are linked whose sets of shingles have a similarity of SIMILAR or more.
-    """
-    import xxhash
-
-    texts = flat.select("doc_id", F.col("text").cast("string").alias("text"))
-    usual = texts.sparkSession.sparkContext.broadcast(frequent(texts))
-    above, below = SIMILAR
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in slices(batches):
-            keys, fps, sizes, firsts = [], [], [], []
-            for shingles in text_shingles(table):
-                n = len(shingles)
-                at = np.minimum(np.searchsorted(usual.value, shingles), max(len(usual.value) - 1, 0))
-                late = usual.value[at] == shingles if len(usual.value) else np.zeros(n, bool)
-                ordered = np.concatenate([shingles[~late], shingles[late]])
-                keys.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-                fps.append(voted(np.unique((shingles >> np.uint64(32)).astype(np.uint32))))
-                sizes.append(n)
-                firsts.append(ordered[: n - -(-above * n // below) + 1].tobytes() if n else b"")
-            yield pa.record_batch({
-                "doc_id": one(table["doc_id"]), "set": pa.array(keys, pa.binary()), "fp": as_column(np.array(fps, np.uint64), pa.binary()),
-                "n": pa.array(sizes, pa.int64()), "first": pa.array(firsts, pa.binary()),
-            })
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = saved(texts.mapInArrow(make, f"doc_id {kind}, set binary, fp binary, n long, first binary"))
-    sets = saved(rows.groupBy("set").agg(F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("first").alias("first")))
-
-    # Candidates of the fingerprints.
-    prints = saved(sets.groupBy("fp").agg(F.min("set").alias("set")))
-    own = sets.select("fp", F.col("set").alias("b")).join(prints.withColumnRenamed("set", "a"), "fp").where("a != b").select("a", "b")
-    across = (
-        links(prints.select("fp"), cell, NEAR_APART).withColumnsRenamed({"a": "x", "b": "y"})
-        .join(prints.select(F.col("fp").alias("x"), F.col("set").alias("a")), "x")
-        .join(prints.select(F.col("fp").alias("y"), F.col("set").alias("b")), "y").select("a", "b")
-    )
-    tried = saved(own.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    sure = confirmed(tried, sets, texts)
-
-    # What they miss.
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = batch.column("first").to_pylist()
-            sizes = np.array([len(part) // 8 for part in parts], np.int64)
-            row = pa.array(np.repeat(np.arange(len(parts)), sizes))
-            place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            yield pa.record_batch({
-                "shingle": pa.array(np.frombuffer(b"".join(parts), np.int64)), "place": pa.array(place),
-                **{name: batch.column(name).take(row) for name in ("set", "root", "n")},
-            })
-
-    roots = components(sure).withColumnRenamed("node", "set")
-    placed = sets.select("set", "n", "first").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    members = saved(placed.mapInArrow(spread, "shingle long, place long, set binary, root binary, n long"))
-    several = members.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("shingle")
-    meeting = saved(members.join(several, "shingle"))
-    one_, other = (meeting.select("shingle", *[F.col(c).alias(side + c) for c in ("place", "set", "root", "n")]) for side in ("a", "b"))
-    most = F.least(F.col("an") - F.col("aplace"), F.col("bn") - F.col("bplace"))  # the first one they share
-    pairs = (
-        one_.join(other, "shingle").where("aset < bset and aroot != broot")
-        .groupBy("aset", "bset", "an", "bn").agg(F.max(most).alias("most"))
-        .where(F.col("most") * (above + below) >= above * (F.col("an") + F.col("bn")))
-        .select(F.col("aset").alias("a"), F.col("bset").alias("b"))
-    )
-    missed = confirmed(saved(pairs.join(tried, ["a", "b"], "left_anti")), sets, texts)
-
-    roots = components(sure.unionByName(missed))
-    reached = sets.select("set", "least").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    names = reached.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "set").join(reached.join(names, "root").select("set", "component_id"), "set").select("doc_id", "component_id")
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets whose Jaccard similarity is SIMILAR or more, written."""
-    above, below = SIMILAR
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in slices(batches):
-            parts = [shingles.tobytes() for shingles in text_shingles(table)]
-            yield pa.record_batch({"set": one(table["set"]), "shingles": pa.array(parts, pa.binary())})
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both * below >= above * (len(x) + len(y) - both))
-            yield pa.record_batch({c: batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")})
-
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    named_ = sets.select("set", F.col("least.at").alias("at")).join(wanted, "set")
-    content = saved(
-        texts.select(F.col("doc_id.at").alias("at"), "text").join(named_, "at").select("set", "text").mapInArrow(make, "set binary, shingles binary")
-    )
-    met = (
-        pairs.join(content.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a")
-        .join(content.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
-    )
-    return saved(met.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary"))
-
-
 def kept_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component of `similar`, with all its columns: the first one with the smallest identifier."""
+    """One row of each component, with all its columns: the first one with the smallest identifier."""
     rows = located(docs)
     flat = rows.select(
         F.struct(F.col(f"row.{id_column}").isNull().alias("unnamed"), F.col(f"row.{id_column}").alias("doc_id"), "at").alias("doc_id"),
         F.col(f"row.{text_column}").alias("text"),
     )
-    gone = similar(flat).where("doc_id.at != component_id.at").select(F.col("doc_id.at").alias("gone"))
+    gone = named(fingerprints(flat)).where("doc_id.at != component_id.at").select(F.col("doc_id.at").alias("gone"))
     return rows.join(gone, F.col("at") == F.col("gone"), "left_anti").select("row.*")
 
 
