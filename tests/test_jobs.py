@@ -73,7 +73,8 @@ def test_sensor_means(replay, drain):
     """Rows up to 5 seconds behind the latest count; behind the watermark they are late for their window."""
     rows = [
         [("s1", second(0.9), 212.0), ("s2", second(0.5), 50.0)], [("s2", second(5), 32.0)],
-        [("s1", second(0.1), 32.0)], [("s2", second(6.5), 212.0)], [("s1", second(0.2), 1000.0), ("s2", second(5.1), 212.0)],
+        [("s1", second(0.1), 32.0)], [("s2", second(6.5), 212.0)], [("s2", second(6.6), 212.0)],
+        [("s1", second(0.2), 1000.0), ("s2", second(5.1), 212.0)],
     ]
     end = [("end", END, 0.0)]
     got = drain(jobs.sensor_means(replay([*rows, end], schemas.SENSOR_READING)))
