@@ -174,6 +174,7 @@ def test_alignment_of_awkward_rows(spark):
     check_alignment(spark, cases, 1 << 18)
     check_alignment(spark, cases, 5)
     check_alignment(spark, [(1, None, "x"), (2, "", "x")], 10)
+    check_alignment(spark, [(1, "ends. here \n", "x"), (2, "two  spaces here", "x"), (3, " ends. here \n", "x"), (4, "\u2581a a", "x"), (5, "a a", "x")], 10)
     assert alignment.summed(table(spark, [])).collect() == []
 
 

@@ -3,9 +3,13 @@
 A text with a space put before it is encoded by both; each tokenizer's tokens lie end to end over its bytes. Every token
 points to its farthest-right overlapping token: the other tokenizer's token over its last byte, if that ends
 further right, else the first tokenizer's token that ends there, which then points to itself. Successors are doubled for all
-tokens of a slice of texts at once until none changes, so every token knows its component's last token, the
+tokens at once until none changes, so every token knows its component's last token, the
 group's label, after as many rounds as the logarithm of the longest chain.
 
+Neither tokenizer has an entry with a space behind a printable ASCII character (else texts are taken whole), so a single
+space between two of those always begins a token of both, and a group. Texts are cut there, and each distinct chunk in a
+task is encoded and aligned once, all new chunks of a slice together; what a text has is summed over its chunks.
+
 Bytes between two neighbouring ends of either tokenizer belong to one token of each, and that is one link. Links are
 counted by pair of identifiers, folded in the tasks and summed over the corpus; of a pair is known whether its count is the
 highest for its second identifier. A text's own sums meet these counts by a broadcast of the `HEAD` most frequent pairs
@@ -22,7 +26,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +40,10 @@ from tidemark.llm.batches import Tally, listed, one, slices
 from tidemark.llm.shared import load, saved
 
 FIRST, SECOND, HEAD = "byte_bpe_50k.json", "piece_bpe_32k.model", 1 << 18
-#: Bytes of text that are encoded and aligned at once.
+#: Bytes of text whose new chunks are encoded and aligned at once.
 SLICE = 1_000_000
 MARK = "▁"
+CUT, ACROSS = re.compile(r"(?<=[!-~])(?= [!-~])"), re.compile(rb"[!-~] ")
 
 
 @functools.cache
@@ -72,27 +79,40 @@ def second_library(name: str):
     return model, pieces
 
 
-def encoded(texts: list[str], first: str, second: str) -> tuple[list[list[int]], list[list[int]]]:
-    """Identifiers of each text by either tokenizer; none where the bytes don't come back."""
+@functools.cache
+def separable(first: str, second: str) -> bool:
+    """Whether texts may be cut before single spaces: no entry of either holds a space behind a printable character.
+
+    Pairs across such a cut are never merged, so what is merged on one side of it doesn't depend on the other.
+    """
+    return not any(ACROSS.search(entry) for entry in chain(first_library(first)[1], second_library(second)[1]))
+
+
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers of all chunks in a row, and how many each chunk has."""
+    sizes = np.array([len(x) for x in lists], np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
+def encoded(chunks: list[str], first: str, second: str) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    """Identifiers of each chunk (a space and more) by either tokenizer, none where its bytes don't come back."""
     tokenizer, entries = first_library(first)
     model, pieces = second_library(second)
-    full = [k for k, text in enumerate(texts) if text]
-    some = [texts[k] for k in full]
-    a = [x.ids for x in tokenizer.encode_batch_fast([" " + text for text in some], add_special_tokens=False)]
-    b = model.encode(some, num_threads=1)
-    ones, others = [[] for _ in texts], [[] for _ in texts]
-    for k, text, left, right in zip(full, some, a, b, strict=True):
-        data = b" " + text.encode()
-        if b"".join([entries[i] for i in left]) == data == b"".join([pieces[i] for i in right]):
-            ones[k], others[k] = left, right
-    return ones, others
-
-
-def flat(lists: list[list[int]], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Identifiers of all texts in a row, where each ends in the bytes of all texts, and how many each text has."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    ids = np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum()))
-    return ids, np.cumsum(lengths[ids]) if len(ids) else ids, sizes
+    ones = [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    others = model.encode([chunk[1:] for chunk in chunks], num_threads=1)
+    data = [chunk.encode() for chunk in chunks]
+    long = np.array([len(x) for x in data], np.int64)
+    good = np.ones(len(chunks), bool)
+    for lists, table, lengths in zip((ones, others), (entries, pieces), _lengths(first, second), strict=True):
+        ids, sizes = flat(lists)
+        owner = np.repeat(np.arange(len(chunks)), sizes)
+        good &= np.bincount(owner, weights=lengths[ids], minlength=len(chunks)) == long
+        # With every length right, the chunks are the same if they are as one; else each is looked at.
+        if not good.all() or b"".join([table[i] for i in ids.tolist()]) != b"".join(data):
+            good &= np.array([b"".join([table[i] for i in x]) == y for x, y in zip(lists, data, strict=True)], bool)
+    if not good.all():
+        ones, others = ([x if fine else [] for x, fine in zip(lists, good.tolist(), strict=True)] for lists in (ones, others))
+    return ones, others, good
 
 
 def labels(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -140,27 +160,86 @@ def written(left: np.ndarray, right: np.ndarray, group_left: np.ndarray, group_r
     return out, stops[ends - 1] if groups else stops[:0]
 
 
-def aligned(table: pa.Table, first: str, second: str) -> dict[str, np.ndarray | list]:
-    """Of a slice of texts: sizes, digests, and links (text, first and second identifier)."""
-    one_side, other_side = encoded(one(table["text"]).to_pylist(), first, second)
-    one_lengths, other_lengths = _lengths(first, second)
-    a, a_ends, a_sizes = flat(one_side, one_lengths)
-    b, b_ends, b_sizes = flat(other_side, other_lengths)
-    rows = np.arange(len(one_side))
-    a_row, b_row = np.repeat(rows, a_sizes), np.repeat(rows, b_sizes)
-    label = labels(a_ends, b_ends)
-    last, group = np.unique(label, return_inverse=True)
-    data, stops = written(a, b, group[: len(a)], group[len(a) :])
-    n_groups = np.bincount(a_row[last], minlength=len(rows))
-    text_stops = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(n_groups)])]
-    view = memoryview(data.tobytes())
+class Chunks:
+    """Distinct chunks, each aligned once: sizes, groups as text, and links as pairs (first identifier * 2^32 + second)."""
+
+    #: Characters of chunks held at most; beyond, the next slice begins anew.
+    MOST = 8_000_000
+
+    def __init__(self, first: str, second: str):
+        self.first, self.second = first, second
+        self.whole = not separable(first, second)
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.held, self.groups = 0, []
+        self.sizes = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, and 1 where the bytes come back
+        self.pairs, self.ends = np.empty(0, np.int64), np.zeros(1, np.int64)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the chunks of all texts in order, and how many each text has."""
+        if self.held > self.MOST:
+            self.clear()
+        split = [([" " + text] if self.whole else CUT.split(" " + text)) if text else [] for text in texts]
+        new = [chunk for chunk in dict.fromkeys(chain.from_iterable(split)) if chunk not in self.places]
+        if new:
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+            self.held += sum(map(len, new))
+            self._align(new)
+        sizes = np.array([len(x) for x in split], np.int64)
+        return np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum())), sizes
+
+    def _align(self, chunks: list[str]) -> None:
+        ones, others, good = encoded(chunks, self.first, self.second)
+        (a, a_sizes), (b, b_sizes) = flat(ones), flat(others)
+        a_ends, b_ends = (np.cumsum(x[ids]) for x, ids in zip(_lengths(self.first, self.second), (a, b), strict=True))
+        chunk = np.repeat(np.arange(len(chunks)), a_sizes)
+        last, group = np.unique(labels(a_ends, b_ends), return_inverse=True)
+        data, stops = written(a, b, group[: len(a)], group[len(a) :])
+        n_groups = np.bincount(chunk[last], minlength=len(chunks))
+        stops = np.concatenate([[0], stops])[np.concatenate([[0], np.cumsum(n_groups)])].tolist()
+        text = data.tobytes()
+        self.groups += [text[begin : max(begin, end - 1)] for begin, end in zip(stops[:-1], stops[1:], strict=True)]
+        cuts = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")  # a link ends at each, once
+        cuts = cuts[np.append(np.diff(cuts) > 0, True)] if len(cuts) else cuts
+        at_a, at_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
+        links = np.bincount(chunk[at_a], minlength=len(chunks))
+        self.sizes = np.concatenate([self.sizes, np.stack([a_sizes, b_sizes, n_groups, good], axis=1)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(links)])
+        self.pairs = np.concatenate([self.pairs, a[at_a] << 32 | b[at_b]])
+
+
+def aligned(texts: list[str], chunks: Chunks) -> dict[str, np.ndarray | list]:
+    """Of each text n_a, n_b, n_groups, n_links and digest; and row, pair and n of all its pairs."""
+    places, many = chunks.of(texts)
+    row = np.repeat(np.arange(len(texts)), many)
+    back = np.ones(len(texts), bool)
+    back[row[chunks.sizes[places, 3] == 0]] = False  # one chunk's bytes don't come back: no tokens
+    back &= many > 0
+    keep = back[row]
+    row, places = row[keep], places[keep]
+    sums = [np.bincount(row, weights=chunks.sizes[places, k], minlength=len(texts)).astype(np.int64) for k in range(3)]
+    stops = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))]).tolist()
+    groups, listed_ = chunks.groups, places.tolist()
     digests = [
-        hashlib.sha256(view[begin : end - 1]).hexdigest() if end > begin else ""
-        for begin, end in zip(text_stops[:-1].tolist(), text_stops[1:].tolist(), strict=True)
+        hashlib.sha256(b";".join([groups[k] for k in listed_[begin:end]])).hexdigest() if end > begin else ""
+        for begin, end in zip(stops[:-1], stops[1:], strict=True)
     ]
-    cuts = np.union1d(a_ends, b_ends)  # a link ends at each
-    at_a, at_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
-    return {"n_a": a_sizes, "n_b": b_sizes, "n_groups": n_groups, "digests": digests, "row": a_row[at_a], "a": a[at_a], "b": b[at_b]}
+    keys, times = np.unique(row * len(chunks.groups) + places, return_counts=True)  # a chunk once for each text
+    row, places = keys // max(1, len(chunks.groups)), keys % max(1, len(chunks.groups))
+    links = chunks.ends[places + 1] - chunks.ends[places]
+    within = np.arange(int(links.sum())) - np.repeat(np.cumsum(links) - links, links)
+    pair, row, times = chunks.pairs[np.repeat(chunks.ends[places], links) + within], np.repeat(row, links), np.repeat(times, links)
+    order = np.lexsort((pair, row))
+    pair, row, times = pair[order], row[order], times[order]
+    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])])) if len(pair) else np.empty(0, np.int64)
+    n_links = np.bincount(row, weights=times, minlength=len(texts)).astype(np.int64)
+    times = np.add.reduceat(times, new) if len(new) else times
+    return {
+        "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": n_links, "digests": digests,
+        "row": row[new], "pair": pair[new], "n": times,
+    }
 
 
 @functools.cache
@@ -171,23 +250,20 @@ def _lengths(first: str, second: str) -> tuple[np.ndarray, np.ndarray]:
 def alignments(docs: DataFrame, id_column: str, text_column: str, first: str, second: str) -> DataFrame:
     """Of every row: row (a number), doc_id, n_a, n_b, n_groups, n_links, groups_sha256, and links: pair and n.
 
-    A pair is first identifier * 2^32 + second identifier.
+    A pair is first identifier * 2^32 + second identifier; a row has each of its pairs once.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = Chunks(first, second)
         for table in slices(batches, limit=SLICE):
-            found = aligned(table, first, second)
-            distinct, code = np.unique(found["a"] << 32 | found["b"], return_inverse=True)
-            keys, times = np.unique(found["row"] * len(distinct) + code, return_counts=True)
-            many = max(1, len(distinct))
-            links = listed(keys // many, table.num_rows, {"pair": pa.array(distinct[keys % many]), "n": pa.array(times.astype(np.int32))})
+            found = aligned(one(table["text"]).to_pylist(), chunks)
+            links = listed(found["row"], table.num_rows, {"pair": pa.array(found["pair"]), "n": pa.array(found["n"].astype(np.int32))})
             yield pa.record_batch({
                 "row": one(table["row"]), "doc_id": one(table["doc_id"]),
-                **{name: pa.array(found[name].astype(np.int64)) for name in ("n_a", "n_b", "n_groups")},
-                "n_links": pa.array(np.bincount(found["row"], minlength=table.num_rows).astype(np.int64)),
-                "groups_sha256": pa.array(found["digests"]), "links": links,
+                **{name: pa.array(found[name]) for name in ("n_a", "n_b", "n_groups", "n_links")},
+                "groups_sha256": pa.array(found["digests"], pa.string()), "links": links,
             })
 
     return rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
