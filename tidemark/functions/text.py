@@ -44,3 +44,9 @@ def is_blank(line: Column) -> Column:
 def prefixed(value: Column, prefix: str) -> Column:
     """A value as the console sink shows it under a prefix."""
     return F.concat(F.lit(prefix + "> "), value)
+
+
+def utf16_length(value: Column) -> Column:
+    """The length in UTF-16 code units, as JVM strings count it: a character beyond the BMP counts as two."""
+    beyond = F.octet_length(value) > F.char_length(value) + 2  # only then can a character have four bytes
+    return F.when(beyond, F.shiftright(F.octet_length(F.encode(value, "UTF-16BE")), 1)).otherwise(F.char_length(value))

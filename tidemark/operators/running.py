@@ -4,7 +4,9 @@ A window function ordered within a key sorts all rows of that key in one task, w
 a key that holds a large share of the data. Here the order of a key is cut into blocks of a
 `position`: rows are aggregated inside their block, block totals are aggregated over the blocks
 before, and the two are merged. Block totals can be cut into wider blocks in the same way, so the
-longest list one task orders is about total / (product of the widths).
+longest list one task orders is about total / (product of the widths). A block's total is what has run up
+to its last row, so rows and totals come out of one exchange, and the input is read once where
+the rows are no wider than keys and order.
 
 Blocks come from the data alone, never from task numbers, so a lost executor's work can be redone.
 """
@@ -14,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Rows without a position come first, as nulls do in ascending order.
@@ -27,10 +29,9 @@ def block_of(position: Column, width: int) -> Column:
 
 
 class Combine(NamedTuple):
-    """How values combine inside a window and in a group, and what came before with what is local."""
+    """How values combine inside a window, and what came before with what is local."""
 
     local: Callable[[Column], Column]
-    total: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
 
 
@@ -38,9 +39,9 @@ def _plus(carry: Column, local: Column) -> Column:
     return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
 
 
-SUM = Combine(F.sum, F.sum, _plus)
-MAX = Combine(F.max, F.max, F.greatest)
-COUNT = Combine(lambda value: F.row_number(), F.count, _plus)
+SUM = Combine(F.sum, _plus)
+MAX = Combine(F.max, F.greatest)
+COUNT = Combine(lambda value: F.row_number(), _plus)
 
 
 def running(
@@ -58,40 +59,46 @@ def running(
     COUNT counts rows. `position` is an integer expression that never decreases along `order`;
     `widths` are the block widths, finest first: the first in units of `position`, each further one
     in blocks of the one before. Without widths each key is one window. A null is no key: its rows
-    are dropped.
+    are dropped. Without keys the whole table is one order.
     """
-    df = df.dropna(subset=list(keys))
+    for key in keys:  # not dropna, which the joins' own filters would repeat on one side only
+        df = df.where(F.col(key).isNotNull())
     window = Window.partitionBy(*keys).orderBy(*order)
     if combine is not COUNT:
         window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not widths:
         return df.withColumn(out, combine.local(value).over(window).cast("bigint"))
     rows = df.withColumn("_block", _block(position, widths[0]))
-    totals = rows.groupBy(*keys, "_block").agg(combine.total(value).alias("_total"))
-    carries = _before(totals, keys, "_total", SUM if combine is COUNT else combine, widths[1:])
+    ordered = Window.partitionBy(*keys, "_block").orderBy(*order)
+    window = ordered if combine is COUNT else ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumns({out: combine.local(value).over(window), "_last": _last(ordered)})
+    totals = local.where("_last").select(*keys, "_block", F.col(out).alias("_total"))
+    carries = _before(totals, keys, SUM if combine is COUNT else combine, widths[1:])
     carries = carries.where(F.col("_carry").isNotNull())
-    window = Window.partitionBy(*keys, "_block").orderBy(*order)
-    if combine is not COUNT:
-        window = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.withColumn(out, combine.local(value).over(window))
     merged = combine.merge(F.col("_carry"), F.col(out)).cast("bigint")
-    return local.join(carries.hint("merge"), [*keys, "_block"], "left").withColumn(out, merged).drop("_block", "_carry")
+    joined = local.drop("_last").join(carries.hint("merge"), [*keys, "_block"], "left")
+    return joined.withColumn(out, merged).drop("_block", "_carry")
+
+
+def _last(ordered: WindowSpec) -> Column:
+    """Whether a row ends its group; what has run up to it is the group's total, out of the same exchange."""
+    return F.lead(F.lit(True)).over(ordered).isNull()
 
 
-def _before(totals: DataFrame, keys: Sequence[str], total: str, combine: Combine, widths: Sequence[int]) -> DataFrame:
-    """`keys, _block, _carry`: the totals of the key's earlier blocks combined, null for its first."""
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+def _before(totals: DataFrame, keys: Sequence[str], combine: Combine, widths: Sequence[int]) -> DataFrame:
+    """`keys, _block, _carry`: the totals (`_total`) of the key's earlier blocks combined, null for its first."""
     if not widths:
-        carry = combine.local(F.col(total)).over(earlier.partitionBy(*keys))
-        return totals.select(*keys, "_block", carry.alias("_carry"))
-    rows = totals.withColumn("_wide", _block(F.col("_block"), widths[0]))
-    wide = rows.groupBy(*keys, F.col("_wide").alias("_block")).agg(combine.total(F.col(total)).alias(total))
-    carries = _before(wide, keys, total, combine, widths[1:]).withColumnsRenamed({"_block": "_wide", "_carry": "_far"})
-    near = rows.select(
-        *keys, "_block", "_wide", combine.local(F.col(total)).over(earlier.partitionBy(*keys, "_wide")).alias("_near")
+        earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(*keys, "_block", combine.local(F.col("_total")).over(earlier).alias("_carry"))
+    ordered = Window.partitionBy(*keys, "_wide").orderBy("_block")
+    so_far = lambda end: combine.local(F.col("_total")).over(ordered.rowsBetween(Window.unboundedPreceding, end))
+    rows = totals.withColumn("_wide", _block(F.col("_block"), widths[0])).select(
+        *keys, "_block", "_wide", so_far(-1).alias("_near"), so_far(0).alias("_all"), _last(ordered).alias("_last")
     )
+    wide = rows.where("_last").select(*keys, F.col("_wide").alias("_block"), F.col("_all").alias("_total"))
+    carries = _before(wide, keys, combine, widths[1:]).withColumnsRenamed({"_block": "_wide", "_carry": "_far"})
     merged = combine.merge(F.col("_far"), F.col("_near")).alias("_carry")
-    return near.join(carries, [*keys, "_wide"]).select(*keys, "_block", merged)
+    return rows.join(carries, [*keys, "_wide"]).select(*keys, "_block", merged)
 
 
 def _block(position: Column, width: int) -> Column:

@@ -57,5 +57,5 @@ def running_counts(
 
 
 def short(column: str = "word", limit: int = MAX_LENGTH) -> Column:
-    """Whether a word is counted rather than routed aside."""
-    return F.length(column) <= limit
+    """Whether a word is counted rather than routed aside, by its length in UTF-16 code units."""
+    return text.utf16_length(F.col(column)) <= limit

@@ -108,6 +108,8 @@ _WORDS = "WITH" + LINES + "," + TOKENS.format(source="lines")
 _CONTENT = (
     "WITH" + LINES + ",\ncontent AS (SELECT * FROM lines WHERE trim(value, ' ') <> '')," + TOKENS.format(source="content")
 )
+# UTF-16 code units: one for each code point, and one more beyond the BMP.
+_LENGTH = r"length(word) + length(regexp_replace(word, '[^\x{10000}-\x{10FFFF}]', '', 'g'))"
 _COUNT = _WORDS + "\nSELECT word, count(*) AS n FROM tokens GROUP BY word"
 _RUNNING = """
 SELECT doc_id, line_no, pos, word, count(*) OVER (
@@ -119,10 +121,10 @@ SQL = {
     "word_count_sorted": _COUNT,
     "word_count_nonempty": _WORDS + "\nSELECT word, count(*) AS n FROM tokens WHERE word <> '' GROUP BY word",
     "running_word_count": _WORDS + _RUNNING.format(condition="word <> ''"),
-    "short_word_counts": _CONTENT + _RUNNING.format(condition="length(word) <= 5"),
-    "rejected_words": _CONTENT + "\nSELECT doc_id, line_no, pos, word FROM tokens WHERE length(word) > 5",
+    "short_word_counts": _CONTENT + _RUNNING.format(condition=_LENGTH + " <= 5"),
+    "rejected_words": _CONTENT + f"\nSELECT doc_id, line_no, pos, word FROM tokens WHERE {_LENGTH} > 5",
     "rejected_words_printed": _CONTENT
-    + "\nSELECT doc_id, line_no, pos, 'reject word: > ' || word AS line FROM tokens WHERE length(word) > 5",
+    + f"\nSELECT doc_id, line_no, pos, 'reject word: > ' || word AS line FROM tokens WHERE {_LENGTH} > 5",
     "clean_lines": "WITH" + LINES + "\nSELECT doc_id, line_no, value FROM lines WHERE trim(value, ' ') <> ''",
     "publish_lines": "WITH" + LINES
     + "\nSELECT CAST(doc_id AS VARCHAR) AS key, value FROM lines WHERE trim(value, ' ') <> ''",

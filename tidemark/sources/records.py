@@ -6,9 +6,9 @@ Parsing is strict by default: a row that does not fit fails the job, as ANSI cas
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +22,29 @@ def from_rows(spark: SparkSession, rows: Iterable[tuple], schema: T.StructType |
     return spark.createDataFrame(list(rows), schema)
 
 
-def _checked(columns: dict[str, Column], bad: Column, line: Column, strict: bool, kinds: dict[str, str]) -> list[Column]:
-    """The columns; if strict, each of them fails on a bad row, so no filter or pruning passes one by."""
-    if not strict:
-        return [value.alias(name) for name, value in columns.items()]
-    failed = F.raise_error(F.concat(F.lit("bad record: "), line))
-    return [F.when(bad, failed.cast(kinds[name])).otherwise(value).alias(name) for name, value in columns.items()]
+def _parsed(
+    lines: DataFrame, column: str, separator: str, record: Callable[[Column], dict[str, Column]], kinds: dict[str, str], strict: bool
+) -> DataFrame:
+    """The records that `record` makes of the fields of each line; if strict, a row with a null field fails.
+
+    Each step is a lambda over an array of one, so line, fields and record are computed once however
+    often they are used, and `inline` keeps filters and pruning above: no bad row is passed by.
+    """
+    shape = ",".join(f"{name}:{kind}" for name, kind in kinds.items())
+
+    def split(line: Column) -> Column:
+        return F.struct(line.alias("line"), text.tokens(line, separator).alias("fields"))
+
+    def filled(row: Column) -> Column:
+        return F.struct(row["line"].alias("line"), F.struct(*[v.alias(n) for n, v in record(row["fields"]).items()]).alias("record"))
+
+    def checked(row: Column) -> Column:
+        missing = reduce(or_, [row["record"][name].isNull() for name in kinds])
+        failed = F.raise_error(F.concat(F.lit("bad record: "), row["line"])).cast(f"struct<{shape}>")
+        return F.when(row["line"].isNotNull() & missing, failed).otherwise(row["record"])
+
+    rows = F.transform(F.transform(F.array(column), split), filled)
+    return lines.select(F.inline(F.transform(rows, checked if strict else lambda row: row["record"])))
 
 
 def _number(value: Column, kind: str) -> Column:
@@ -40,16 +57,16 @@ def parse_behavior(lines: DataFrame, column: str = "value", strict: bool = True)
 
     A strict row is checked in all five fields, whichever of them are used.
     """
-    line = F.col(column)
-    fields = text.tokens(line, ",")
     kinds = {"user_id": "bigint", "item_id": "bigint", "category_id": "int", "behavior": "string", "ts": "timestamp_ntz"}
-    columns = {
-        name: F.get(fields, F.lit(i)) if kind == "string" else _number(F.get(fields, F.lit(i)), "bigint" if name == "ts" else kind)
-        for i, (name, kind) in enumerate(kinds.items())
-    }
-    columns["ts"] = times.from_micros(F.try_multiply(columns["ts"], F.lit(1_000_000)))
-    bad = line.isNotNull() & ~reduce(and_, [value.isNotNull() for value in columns.values()])
-    return lines.select(*_checked(columns, bad, line, strict, kinds))
+
+    def record(fields: Column) -> dict[str, Column]:
+        columns = {
+            name: F.get(fields, F.lit(i)) if kind == "string" else _number(F.get(fields, F.lit(i)), "bigint" if name == "ts" else kind)
+            for i, (name, kind) in enumerate(kinds.items())
+        }
+        return columns | {"ts": times.from_micros(F.try_multiply(columns["ts"], F.lit(1_000_000)))}
+
+    return _parsed(lines, column, ",", record, kinds, strict)
 
 
 def parse_access_log(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
@@ -58,10 +75,10 @@ def parse_access_log(lines: DataFrame, column: str = "value", strict: bool = Tru
     The zone offset at 4 is not read: times are taken as UTC. Two spaces before the URL leave
     an empty field there; such rows are dropped. Empty fields at the end of a line count as missing.
     """
-    line = F.col(column)
-    fields = text.tokens(line, " ")
     kinds = {"ip": "string", "ts": "timestamp_ntz", "method": "string", "url": "string"}
-    columns = {name: F.get(fields, F.lit(i)) for name, i in zip(kinds, (0, 3, 5, 6), strict=True)}
-    columns["ts"] = times.log_time(columns["ts"], strict=False)
-    bad = line.isNotNull() & ~reduce(and_, [value.isNotNull() for value in columns.values()])
-    return lines.select(*_checked(columns, bad, line, strict, kinds)).where(~F.col("url").eqNullSafe(""))
+
+    def record(fields: Column) -> dict[str, Column]:
+        columns = {name: F.get(fields, F.lit(i)) for name, i in zip(kinds, (0, 3, 5, 6), strict=True)}
+        return columns | {"ts": times.log_time(columns["ts"], strict=False)}
+
+    return _parsed(lines, column, " ", record, kinds, strict).where(~F.col("url").eqNullSafe(""))
