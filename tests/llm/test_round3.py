@@ -188,6 +188,30 @@ def test_alignment_query(spark):
         assert w[6] is None or r.groups_sha256 == w[6]
 
 
+def test_both_libraries_agree_on_latin_chunks():
+    pick = np.random.default_rng(4)
+    common = list("aeinrst ,.'12\n") + ["'s", "'ll", "  "]
+    chunks = [" " + "".join(pick.choice(common) if pick.random() < 0.6 else chr(pick.integers(0, 0x250)) for _ in range(pick.integers(1, 25))) for _ in range(20_000)]
+    assert not any(alignment.OTHER(chunk) for chunk in chunks)
+    tokenizer = alignment.first_library(alignment.FIRST)[0]
+    want = [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    assert alignment.first_ids(chunks, alignment.FIRST) == want and alignment.fast_library(alignment.FIRST) is not None
+
+
+def test_a_text_is_the_sum_of_its_chunks():
+    """With and without cuts, over random texts, and with a table of chunks that begins anew with each slice."""
+    pick = np.random.default_rng(5)
+    words = ["the", "end.", "one", "é", "“x”", "日本", "a  b", "\n", "x\n", "</s>", "it's", "1,000", "—", "\u00a0", "..."]
+    texts = [" ".join(pick.choice(words, pick.integers(0, 30))) for _ in range(300)] + ["", " ", "  a", "a ", None]
+    cut, whole, small = (alignment.Chunks(alignment.FIRST, alignment.SECOND) for _ in range(3))
+    whole.whole, small.MOST = True, 0
+    want = alignment.aligned(texts, whole)
+    for got in (alignment.aligned(texts, cut), alignment.aligned(texts, cut), alignment.aligned(texts[:9], small) and alignment.aligned(texts, small)):
+        assert got["digests"] == want["digests"]
+        assert all((got[name] == want[name]).all() for name in want if name != "digests")
+    assert len(cut.groups) < len(whole.groups) * 10
+
+
 def test_pointer_jumping():
     left, right = np.array([2, 5, 7, 9, 14, 20]), np.array([3, 6, 7, 12, 16, 20])
     assert alignment.labels(left, right).tolist() == [2, 2, 2, 5, 5, 5, 2, 2, 2, 5, 5, 5]

@@ -28,7 +28,7 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,8 @@ FIRST, SECOND, HEAD = "byte_bpe_50k.json", "piece_bpe_32k.model", 1 << 18
 #: Bytes of text whose new chunks are encoded and aligned at once.
 SLICE = 1_000_000
 MARK = "▁"
+#: Whether a text has a character beyond the Latin blocks.
+OTHER = re.compile("[^\x00-\u024f]").search
 CUT, ACROSS = re.compile(r"(?<=[!-~])(?= [!-~])"), re.compile(rb"[!-~] ")
 
 
@@ -88,31 +90,64 @@ def separable(first: str, second: str) -> bool:
     return not any(ACROSS.search(entry) for entry in chain(first_library(first)[1], second_library(second)[1]))
 
 
-def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers of all chunks in a row, and how many each chunk has."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+@functools.cache
+def fast_library(name: str):
+    """The first tokenizer's vocabulary and pattern in a faster library; None where its merges aren't in the order of its ids."""
+    import json
 
+    import public_tokenizers
+    import tiktoken
 
-def encoded(chunks: list[str], first: str, second: str) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-    """Identifiers of each chunk (a space and more) by either tokenizer, none where its bytes don't come back."""
-    tokenizer, entries = first_library(first)
-    model, pieces = second_library(second)
-    ones = [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-    others = model.encode([chunk[1:] for chunk in chunks], num_threads=1)
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    made = [model["vocab"].get("".join(pair if isinstance(pair, list) else pair.split(" "))) for pair in model["merges"]]
+    if None in made or any(one >= other for one, other in zip(made, made[1:], strict=False)):
+        return None
+    known = set(made)
+    ranks = {entry: number for number, entry in enumerate(first_library(name)[1]) if len(entry) == 1 or number in known}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def first_ids(chunks: list[str], name: str) -> list[list[int]]:
+    """The first tokenizer's identifiers of each chunk.
+
+    Chunks of Latin letters go by the faster library: there the two can't differ in what they take for letters,
+    numbers and white space.
+    """
+    tokenizer, fast = first_library(name)[0], fast_library(name)
+    if fast is None:
+        return [x.ids for x in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    ids = [None if OTHER(chunk) else fast.encode_ordinary(chunk) for chunk in chunks]
+    rest = [k for k, found in enumerate(ids) if found is None]
+    for k, x in zip(rest, tokenizer.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False), strict=True):
+        ids[k] = x.ids
+    return ids
+
+
+Side = tuple[np.ndarray, np.ndarray]
+
+
+def encoded(chunks: list[str], first: str, second: str) -> tuple[Side, Side, np.ndarray]:
+    """Identifiers of all chunks (a space and more) in a row and how many each has, by either tokenizer, and whether its bytes come back.
+
+    A chunk whose bytes don't has no identifiers.
+    """
     data = [chunk.encode() for chunk in chunks]
-    long = np.array([len(x) for x in data], np.int64)
-    good = np.ones(len(chunks), bool)
-    for lists, table, lengths in zip((ones, others), (entries, pieces), _lengths(first, second), strict=True):
-        ids, sizes = flat(lists)
-        owner = np.repeat(np.arange(len(chunks)), sizes)
-        good &= np.bincount(owner, weights=lengths[ids], minlength=len(chunks)) == long
+    whole, long = b"".join(data), np.fromiter(map(len, data), np.int64, len(data))
+    model, pieces = second_library(second)
+    made = first_ids(chunks, first), model.encode([chunk[1:] for chunk in chunks], num_threads=1)
+    sides, good = [], np.ones(len(chunks), bool)
+    for lists, table, lengths in zip(made, (first_library(first)[1], pieces), _lengths(first, second), strict=True):
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+        sides.append((ids, sizes))
+        good &= np.bincount(np.repeat(np.arange(len(chunks)), sizes), weights=lengths[ids], minlength=len(chunks)) == long
         # With every length right, the chunks are the same if they are as one; else each is looked at.
-        if not good.all() or b"".join([table[i] for i in ids.tolist()]) != b"".join(data):
+        if not good.all() or b"".join([table[i] for i in ids.tolist()]) != whole:
             good &= np.array([b"".join([table[i] for i in x]) == y for x, y in zip(lists, data, strict=True)], bool)
     if not good.all():
-        ones, others = ([x if fine else [] for x, fine in zip(lists, good.tolist(), strict=True)] for lists in (ones, others))
-    return ones, others, good
+        sides = [(ids[np.repeat(good, sizes)], sizes * good) for ids, sizes in sides]
+    return sides[0], sides[1], good
 
 
 def labels(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -160,11 +195,19 @@ def written(left: np.ndarray, right: np.ndarray, group_left: np.ndarray, group_r
     return out, stops[ends - 1] if groups else stops[:0]
 
 
+class Places(dict):
+    """Numbers chunks as they are asked for."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        return number
+
+
 class Chunks:
     """Distinct chunks, each aligned once: sizes, groups as text, and links as pairs (first identifier * 2^32 + second)."""
 
     #: Characters of chunks held at most; beyond, the next slice begins anew.
-    MOST = 8_000_000
+    MOST = 4_000_000
 
     def __init__(self, first: str, second: str):
         self.first, self.second = first, second
@@ -172,8 +215,7 @@ class Chunks:
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.held, self.groups = 0, []
+        self.places, self.held, self.groups = Places(), 0, []
         self.sizes = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, and 1 where the bytes come back
         self.pairs, self.ends = np.empty(0, np.int64), np.zeros(1, np.int64)
 
@@ -182,17 +224,15 @@ class Chunks:
         if self.held > self.MOST:
             self.clear()
         split = [([" " + text] if self.whole else CUT.split(" " + text)) if text else [] for text in texts]
-        new = [chunk for chunk in dict.fromkeys(chain.from_iterable(split)) if chunk not in self.places]
-        if new:
-            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+        sizes, before = np.fromiter(map(len, split), np.int64, len(split)), len(self.places)
+        places = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if new := list(islice(self.places, before, None)):
             self.held += sum(map(len, new))
             self._align(new)
-        sizes = np.array([len(x) for x in split], np.int64)
-        return np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum())), sizes
+        return places, sizes
 
     def _align(self, chunks: list[str]) -> None:
-        ones, others, good = encoded(chunks, self.first, self.second)
-        (a, a_sizes), (b, b_sizes) = flat(ones), flat(others)
+        (a, a_sizes), (b, b_sizes), good = encoded(chunks, self.first, self.second)
         a_ends, b_ends = (np.cumsum(x[ids]) for x, ids in zip(_lengths(self.first, self.second), (a, b), strict=True))
         chunk = np.repeat(np.arange(len(chunks)), a_sizes)
         last, group = np.unique(labels(a_ends, b_ends), return_inverse=True)
@@ -214,31 +254,34 @@ def aligned(texts: list[str], chunks: Chunks) -> dict[str, np.ndarray | list]:
     """Of each text n_a, n_b, n_groups, n_links and digest; and row, pair and n of all its pairs."""
     places, many = chunks.of(texts)
     row = np.repeat(np.arange(len(texts)), many)
-    back = np.ones(len(texts), bool)
+    back = many > 0
     back[row[chunks.sizes[places, 3] == 0]] = False  # one chunk's bytes don't come back: no tokens
-    back &= many > 0
-    keep = back[row]
-    row, places = row[keep], places[keep]
+    if not back.all():
+        row, places = row[back[row]], places[back[row]]
     sums = [np.bincount(row, weights=chunks.sizes[places, k], minlength=len(texts)).astype(np.int64) for k in range(3)]
     stops = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))]).tolist()
-    groups, listed_ = chunks.groups, places.tolist()
+    groups, used = chunks.groups, places.tolist()
     digests = [
-        hashlib.sha256(b";".join([groups[k] for k in listed_[begin:end]])).hexdigest() if end > begin else ""
+        hashlib.sha256(b";".join([groups[k] for k in used[begin:end]])).hexdigest() if end > begin else ""
         for begin, end in zip(stops[:-1], stops[1:], strict=True)
     ]
-    keys, times = np.unique(row * len(chunks.groups) + places, return_counts=True)  # a chunk once for each text
-    row, places = keys // max(1, len(chunks.groups)), keys % max(1, len(chunks.groups))
     links = chunks.ends[places + 1] - chunks.ends[places]
-    within = np.arange(int(links.sum())) - np.repeat(np.cumsum(links) - links, links)
-    pair, row, times = chunks.pairs[np.repeat(chunks.ends[places], links) + within], np.repeat(row, links), np.repeat(times, links)
-    order = np.lexsort((pair, row))
-    pair, row, times = pair[order], row[order], times[order]
-    new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])])) if len(pair) else np.empty(0, np.int64)
-    n_links = np.bincount(row, weights=times, minlength=len(texts)).astype(np.int64)
-    times = np.add.reduceat(times, new) if len(new) else times
+    first = np.repeat(chunks.ends[places] - (np.cumsum(links) - links), links)
+    pair, row = chunks.pairs[first + np.arange(len(first))], np.repeat(row, links)
+    n_links = np.bincount(row, minlength=len(texts))
+    # Sorted by text and pair, as one number: identifiers have 16 bits each, or else numbers of their own.
+    distinct = None
+    if len(pair) and (pair.max() >> 48 or (pair & 0xFFFFFFFF).max() >> 16 or len(texts) >> 31):
+        distinct, pair = np.unique(pair, return_inverse=True)
+    else:
+        pair = pair >> 16 | pair & 0xFFFF
+    key = np.sort(row << 32 | pair)
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    row, pair = key[new] >> 32, key[new] & 0xFFFFFFFF
     return {
         "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": n_links, "digests": digests,
-        "row": row[new], "pair": pair[new], "n": times,
+        "row": row, "pair": distinct[pair] if distinct is not None else pair >> 16 << 32 | pair & 0xFFFF,
+        "n": np.diff(np.append(new, len(key))),
     }
 
 
