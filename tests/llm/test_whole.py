@@ -100,3 +100,22 @@ def test_bins_of_a_source_stay_small(spark):
     assert max(r["count"] for r in got.groupBy("place", "bin").count().collect()) <= 60
     taken = {r.place: r.n for r in got.groupBy("place").agg({"times": "sum"}).withColumnRenamed("sum(times)", "n").collect()}
     assert taken == pytest.approx({0: 40_000, 1: 20_000, 2: 20_000, 3: 10_000, 4: 30_010}, abs=1)
+
+
+def test_sampled_passages(spark):
+    """About as many distinct passages as asked for, the same in every run, all of them where there are fewer."""
+    texts = [(i, prose(i % 300, 640), "s") for i in range(400)]
+    hashes = semantic.hashed_rows(table(spark, texts).select("doc_id", "text"))
+    every = {bytes(r.ids) for r in semantic.sampled(hashes).collect()}
+    assert len(every) == 3000 and all(len(x) == 4 * semantic.PASSAGE for x in every)
+    some = [{bytes(r.ids) for r in semantic.sampled(hashes.repartition(n), 400).collect()} for n in (2, 7)]
+    assert some[0] == some[1] and 200 < len(some[0]) < 400 and some[0] < every
+
+
+def test_repeated_items_long_texts_and_several_blocks(spark, monkeypatch):
+    """Over 1,000 items, some of them twice, in texts beyond a span with leaks across its border, each found once."""
+    items = {k: f"{prose(5000 + k, 14, 4000)}. {prose(9000 + k, 6, 4000)}." for k in range(1010)}
+    items |= {2000: items[7], 2001: items[1009]}
+    long = prose(1, semantic.SPAN - 10, 4000)
+    texts = {1: f"{long} {items[7]} {prose(2, 50, 4000)} {items[1009]} {prose(3, semantic.SPAN, 4000)} {items[500]}", 2: items[3], 3: None}
+    assert found(spark, texts, items) == {(1, 7), (1, 2000), (1, 1009), (1, 2001), (1, 500), (2, 3)}
