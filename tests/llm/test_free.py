@@ -69,12 +69,11 @@ def test_base_scores(spark, documents):
     assert sum(r.score for r in got.values() if r.held_out) > sum(r.base_score for r in got.values() if r.held_out)
 
 
-def plain_tree(lines, context_share, entry_share):
-    """Contexts of up to two words by the docstring's rules, and P of a token behind given words."""
+def plain_tree(lines, frequent, least, depth):
+    """Contexts of up to `depth` words by the docstring's rules, and P of a token behind given words."""
     tokens = [[*line.split(), ""] for line in lines]
     c = Counter(w for ts in tokens for w in ts)
     n, v = sum(c.values()), len(c)
-    least, frequent = max(1, math.ceil(entry_share * n)), max(1, math.ceil(context_share * n))
     root = lambda w: (c[w] + 0.1) / (n + 0.1 * (v + 1))
     kept, entries, totals = {}, defaultdict(dict), {}
 
@@ -88,12 +87,12 @@ def plain_tree(lines, context_share, entry_share):
         return 0.9 * found.get(w, 0) / totals[context] + rest * p(w, context[1:])
 
     candidates = {(w,): k for w, k in c.items() if w and k >= frequent}
-    for depth in (1, 2):
+    for size in range(1, depth + 1):
         after = defaultdict(Counter)
         for ts in tokens:
-            for i in range(depth, len(ts)):
-                if tuple(ts[i - depth : i]) in candidates:
-                    after[tuple(ts[i - depth : i])][ts[i]] += 1
+            for i in range(size, len(ts)):
+                if tuple(ts[i - size : i]) in candidates:
+                    after[tuple(ts[i - size : i])][ts[i]] += 1
         stay, longer = {}, {}
         for s, total in candidates.items():
             found = {w: k for w, k in after[s].items() if k >= least}
@@ -112,20 +111,55 @@ def plain_tree(lines, context_share, entry_share):
     return p, kept, c
 
 
-def test_tree_against_plain_version(spark):
-    lines = [prose(k % 9, 60, 30) for k in range(40)] + ["", "a b a b a b"]
+@pytest.mark.parametrize("depth", [1, 3])
+def test_tree_against_plain_version(spark, depth):
+    """All in memory, a part of the contexts by joins, all by joins: the same scores."""
+    lines = [prose(k % 9, 60, 30) for k in range(40)] + ["", "a b a b a b", "a", "a b a b a b a"]
+    for k in range(12):  # what follows depends on the last word and the third last
+        pick = np.random.default_rng(k)
+        walk = pick.integers(0, 4, 3).tolist()
+        for _ in range(150):
+            walk.append((walk[-1] + 2 * walk[-3] + int(pick.random() < 0.1)) % 4)
+        lines.append(" ".join(f"x{w}" for w in walk))
     docs = table(spark, [(i, t, "s") for i, t in enumerate(lines)])
-    p, kept, c = plain_tree(lines, 0.002, 0.0005)
-    assert {len(s) for s in kept} == {1, 2}
-    for s in [(), *list(kept)[:20]]:  # distributions sum to 1 with one unseen word's share
+    p, kept, c = plain_tree(lines, 5, 2, depth)
+    assert {len(s) for s in kept} == set(range(1, depth + 1))
+    for s in [(), *list(kept)[:20], *[s for s in kept if len(s) == depth][:20]]:  # distributions sum to 1 with one unseen word's share
         assert sum(p(w, s) for w in c) + p("unseen", s) == pytest.approx(1)
-    got = suffix_tree.scored(docs, docs, context_share=0.002, entry_share=0.0005)
-    for r in got.collect():
-        ts = [*lines[r.doc_id].split(), ""]
-        assert r.score == pytest.approx(sum(math.log10(p(w, tuple(ts[max(0, i - 2) : i]))) for i, w in enumerate(ts)))
-    # The rare words' way, by the join, gives the same.
-    few = suffix_tree.scored(docs, docs, context_share=0.002, entry_share=0.02, head_size=5)
-    assert few.selectExpr("sum(n_known)").first()[0] == sum(c.values())
+    want = []
+    for i, line in enumerate(lines):
+        ts = [*line.split(), ""]
+        want.append((i, sum(math.log10(p(w, tuple(ts[max(0, k - depth) : k]))) for k, w in enumerate(ts))))
+    for near in ({}, {"near_contexts": len(kept) // 2}, {"near_entries": 0}, {"head_size": 5}):
+        got = suffix_tree.scored(docs, docs, depth=depth, context_least=5, entry_least=2, **near)
+        assert {r.doc_id: r.score for r in got.collect()} == {i: pytest.approx(score) for i, score in want}
+        assert got.selectExpr("sum(n_known)").first()[0] == sum(c.values())
+
+
+def test_what_the_tree_learns_grows(spark):
+    """The entries kept of four times the texts are more than twice as many, with the same parameters."""
+    texts = [prose(k, 200, 3000) + " " + prose(k % 40, 100, 90) for k in range(400)]
+    many = []
+    for size in (100, 400):
+        docs = table(spark, [(i, t, "s") for i, t in enumerate(texts[:size])])
+        counts = suffix_tree.unigrams(docs)
+        v, n = counts.selectExpr("count(*)", "sum(n)").first()
+        levels = suffix_tree.grown(docs.select("text"), counts, v, n, 2, 16, 3)
+        many.append(sum(level.entries.count() for level in levels))
+    assert many[1] > 2 * many[0] > 0
+
+
+def test_bitmaps(spark):
+    pick = np.random.default_rng(6).integers(-(2**63), 2**63, 3000)
+    bits = suffix_tree.bitmap(spark.createDataFrame([(int(x),) for x in pick[:1000]], "k long"), "k", 20)
+    found = suffix_tree.inside(bits, pick.view(np.uint64))
+    assert found[:1000].all() and found[1000:].mean() < 0.01 and len(bits) == 1 << 17
+
+
+def test_states():
+    ids = np.arange(5, dtype=np.uint64) * np.uint64(77)
+    *_, (at, last) = suffix_tree.states(ids, np.array([0, 1, 2, 3, 0]), 3)
+    assert at.tolist() == [3] and int(last[0].view(np.int64)) == suffix_tree.states_of([0, 77, 154])[-1]
 
 
 def test_language_model_cases(spark):

@@ -1,92 +1,127 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 Tokens are lower-case words and one end for each text. The root is the smoothed unigram distribution
-P(w) = (c + 0.1) / (N + 0.1 (V + 1)). A candidate context is a sequence of 1 or 2 words that makes up at
-least 2^-17 of the training positions; its next-symbol entries are the symbols that follow it in at
-least 2^-20 of all positions. Counts are exact, over all training texts. Since shares of positions sum to 1,
-there are at most 2^17 contexts and 2^20 entries at each depth, for any corpus: that bounds what is broadcast.
+P(w) = (c + 0.1) / (N + 0.1 (V + 1)). A candidate context is a sequence of 1 to `DEPTH` words that occurs `CONTEXT_LEAST` times or
+more in training; its next-symbol entries are the symbols that follow it `ENTRY_LEAST` times or more. Both are fixed numbers,
+so what is learned grows with the corpus, and counts are exact, over all training texts and all words.
 
 Divergence test. A context stays if n(s) * KL(next symbols of s || those of its longest kept suffix), over its
 entries and all other symbols as one, exceeds half ln N for each of them, the cost of writing them down.
 Smoothing. P_s(w) = 0.9 n(s, w) / n(s) for an entry, plus b_s * P_suffix(w) for every symbol, where b_s is
 what the entries leave of 1; so every distribution sums to 1. A token is scored in its longest kept suffix.
 
-Root counts of the 2^18 most frequent words (at most 64 bytes each) are broadcast; all other words of a document
-get their counts by a shuffled join.
+Tables. Words and sequences go by 64-bit hashes. Each level takes one pass over the training texts: (context, symbol) pairs
+are counted, folded in the tasks. Pairs are left out early where a bitmap of `BITS` bits, as large for any corpus, tells
+that the context or the symbol is too rare; what passes by chance is dropped by a join later. Contexts and entries are Spark
+tables; the test and the smoothing are joins and sums over them.
+
+Scoring. The most frequent contexts with all their entries, `NEAR_CONTEXTS` and `NEAR_ENTRIES` at most, are broadcast. Tokens behind
+any other kept context, told by a bitmap, meet the tables in shuffled joins, each distinct one once for each text. Root counts
+of the 2^18 most frequent words (at most 64 bytes each) are broadcast; all other words of a document get theirs by a join.
 
 Cases. A null text counts as empty and has only its end. Without training texts N and V are 0 and every token has
-P = 1. Rows are scored one by one, repeated ones too. Other columns are not read. An empty table
-gives no rows.
+P = 1. A text of any length is one slice. Rows are scored one by one, repeated ones too. Other columns are not read. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import Tally, coded, listed, one, places, slices, words
 from tidemark.llm.shared import fold, load, saved
 
-FOLDS, DEPTH = 10, 2
-HEAD, HEAD_BYTES, ADD = 1 << 18, 64, 0.1
-CONTEXT_SHARE, ENTRY_SHARE, KEEP = 2.0**-17, 2.0**-20, 0.9
-#: The end as a value; no word is empty.
-END = ""
-WIDE = np.int64(1 << 20)
+FOLDS, DEPTH, CONTEXT_LEAST, ENTRY_LEAST = 10, 3, 64, 8
+HEAD, HEAD_BYTES, ADD, KEEP = 1 << 18, 64, 0.1, 0.9
+NEAR_CONTEXTS, NEAR_ENTRIES, BITS = 1 << 19, 1 << 21, 27
+#: Tokens that are counted at once, and partial counts that are held in a task.
+ROWS, HELD = 1_000_000, 1_500_000
+#: The end as a value; no word is empty. Spark's own hash of a string is this one, with this seed.
+END, SEED = "", 42
+ODD, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
-@dataclass
-class Level:
-    """Contexts of one length: their keys, rising, and what they hold."""
+def numbers(distinct: pa.Array) -> np.ndarray:
+    """64-bit hashes of words."""
+    import xxhash
 
-    keys: np.ndarray  # key of the shorter context's number and the last word's
-    rest: np.ndarray  # log10 of b_s, 0 where the context isn't kept
-    kept: np.ndarray
-    entries: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # context * WIDE + symbol, rising
-    gains: np.ndarray = field(default_factory=lambda: np.empty(0))  # log10 P_s(w) - log10 P(w)
+    return np.array([xxhash.xxh64_intdigest(word, SEED) for word in distinct.to_pylist()], np.uint64)
 
 
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The place of each in the rising keys, -1 where absent."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, at, -1)
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (the finaliser of a common random generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def longer(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The sequence with a word put before it."""
+    return mixed(state * ODD + word)
+
+
+def entry(state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """The pair of a context and what follows it."""
+    return mixed(state * TURN ^ symbol)
+
 
+def states_of(sequence: list[int]) -> list[int]:
+    """The sequence's suffixes as states, the shortest first and itself last."""
+    ids = np.array(sequence, np.int64).view(np.uint64)
+    out = [ids[-1:]]
+    for k in range(2, len(ids) + 1):
+        out.append(longer(out[-1], ids[-k : len(ids) - k + 1]))
+    return [int(x[0].view(np.int64)) for x in out]
 
-def symbols(table: pa.Table, head: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """For all tokens, ends too: place in head or -1, owner, distinct words and each token's number among them."""
+
+def tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Of all tokens, ends too: owner, place in the text; the distinct words, each token's number among them, and their hashes."""
     values, sizes = words(one(table["text"]))
     values = pa.concat_arrays([values, pa.array([END], values.type)])
     distinct, codes = coded(values)
-    end, codes = codes[-1], codes[:-1]
-    stops = np.cumsum(sizes)
-    codes = np.insert(codes, stops, end)
-    owner = np.repeat(np.arange(len(sizes)), sizes + 1)
-    return places(distinct, head)[codes], owner, distinct, codes
-
-
-def states(at: np.ndarray, owner: np.ndarray, levels: list[Level]) -> list[np.ndarray]:
-    """For each level, the number of the context before each token, -1 where there is none."""
-    found, before = [], None
-    for depth, level in enumerate(levels):
-        last = np.full(len(at), -1, np.int64)
-        last[1:] = np.where(owner[1:] == owner[:-1], at[:-1], -1)
-        if depth == 0:
-            key = last
-        else:  # the shorter context that ends one word earlier
-            shifted = np.full(len(at), -1, np.int64)
-            shifted[1:] = np.where(owner[1:] == owner[:-1], before[:-1], -1)
-            key = np.where((shifted >= 0) & (last >= 0), shifted * WIDE + last, -1)
-        before = np.where(key >= 0, find(level.keys, key), -1)
-        found.append(before)
+    codes = np.insert(codes[:-1], np.cumsum(sizes), codes[-1])
+    many = sizes + 1
+    place = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(np.arange(len(sizes)), many), place, distinct, codes, numbers(distinct)
+
+
+def states(ids: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length of a context up to `depth`: the tokens that have so many words before them, and their states."""
+    state = np.zeros(len(ids), np.uint64)
+    for length in range(1, depth + 1):
+        at = np.flatnonzero(place >= length)
+        state[at] = ids[at - 1] if length == 1 else longer(state[at], ids[at - length])
+        yield at, state[at]
+
+
+def bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
+    """A bitmap of 2^bits bits, two of them set for each key; it comes to the driver in parts of 4 KB, 2^bits bits at most."""
+    key, most = F.col(column), (1 << bits) - 1
+    probes = F.array(*[probe.bitwiseAND(most) + 1 for probe in (key, F.shiftrightunsigned(key, 32))])
+    rows = keys.select(F.explode(probes).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("set")
+    )
+    out = np.zeros(max(1 << (bits - 3), 4096), np.uint8)
+    for row in rows.toLocalIterator():
+        out[(row.part - 1) * 4096 : row.part * 4096] = np.frombuffer(row.set, np.uint8)
+    return out[: 1 << (bits - 3)]
+
+
+def inside(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether both bits of each key are set: of all keys that the bitmap was made of, and few others."""
+    most = np.uint64(len(bits) * 8 - 1)
+
+    def probe(x: np.ndarray) -> np.ndarray:
+        return (bits[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 != 0
+
+    found = probe(keys & most)
+    found[found] = probe((keys[found] >> np.uint64(32)) & most)
     return found
 
 
@@ -106,118 +141,225 @@ def unigrams(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "value string, n long").groupBy("value").agg(F.sum("n").alias("n"))
 
 
-def followers(training: DataFrame, head, levels, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of (context of the last level, symbol), for counts of at least `least`."""
+Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def folded(parts: list[Pairs]) -> Pairs:
+    """Pairs (state, symbol) with their counts, each once."""
+    state, symbol, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    _, first, code = np.unique(entry(state, symbol), return_index=True, return_inverse=True)
+    return state[first], symbol[first], np.bincount(code, weights=times).astype(np.int64)
+
+
+def followers(training: DataFrame, contexts: np.ndarray, symbols: np.ndarray, length: int) -> DataFrame:
+    """s, h and n: how often a symbol follows a context of the given length, where the bitmaps have both."""
+    model = training.sparkSession.sparkContext.broadcast((contexts, symbols))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, (known, counts), tree = Tally(), head.value, levels.value
-        usual = np.append(counts >= least, False)
+        some, usual = model.value
+        raw, held = [], []
         for table in slices(batches):
-            at, owner, _, _ = symbols(table, known)
-            state = states(at, owner, tree)[-1]
-            keys, times = np.unique((state * WIDE + at)[(state >= 0) & usual[at]], return_counts=True)
-            yield from tally.add(pa.array(keys), times)
-        yield from tally.take()
+            _, place, _, codes, hashes = tokens(table)
+            ids = hashes[codes]
+            *_, (at, state) = states(ids, place, length)
+            good = inside(usual, hashes)[codes[at]]
+            good[good] = inside(some, state[good])
+            raw.append((state[good], ids[at[good]], np.ones(int(good.sum()), np.int64)))
+            if sum(len(x[0]) for x in raw) > ROWS:
+                held.append(folded(raw))
+                raw = []
+            if sum(len(x[0]) for x in held) > HELD:
+                held = [folded(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield from given(held.pop())
+        if raw or held:
+            yield from given(folded(raw + held))
+
+    def given(pairs: Pairs) -> Iterator[pa.RecordBatch]:
+        for begin in range(0, len(pairs[0]), 100_000):
+            state, symbol, times = (x[begin : begin + 100_000] for x in pairs)
+            yield pa.record_batch({"s": pa.array(state.view(np.int64)), "h": pa.array(symbol.view(np.int64)), "n": pa.array(times)})
+
+    return training.select("text").mapInArrow(count, "s long, h long, n long").groupBy("s", "h").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class Level:
+    """The kept contexts of one length: s, total and rest (log10 of b_s); and their entries: s, h and gain (log10 P_s(w) - log10 P(w))."""
+
+    contexts: DataFrame
+    entries: DataFrame
+
+
+def resolved(rows: DataFrame, levels: list[Level], states: Column, out: str) -> DataFrame:
+    """`rows`, with a symbol `h`, and as `out` log10 of its probability in the longest kept suffix over that in the root.
+
+    states: the state of the context of each length; levels: from the shortest on.
+    """
+    names = rows.columns
+    now = rows.withColumns({"_states": states, "_sum": F.lit(0.0), "_open": F.lit(True)})
+    for k in reversed(range(len(levels))):
+        now = now.withColumn("_s", F.get("_states", F.lit(k)))
+        rest = levels[k].contexts.select(F.col("s").alias("_s"), "rest")
+        gains = levels[k].entries.select(F.col("s").alias("_s"), "h", "gain")
+        now = now.join(rest, "_s", "left").join(gains, ["_s", "h"], "left")
+        more = F.coalesce("gain", "rest", F.lit(0.0))
+        now = now.select(
+            *names, "_states", F.when(F.col("_open"), F.col("_sum") + more).otherwise(F.col("_sum")).alias("_sum"),
+            (F.col("_open") & F.col("gain").isNull()).alias("_open"),
+        )
+    return now.select(*names, F.col("_sum").alias(out))
+
 
-    rows = (
-        training.select("text").mapInArrow(count, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least).toArrow()  # at most 1 / ENTRY_SHARE rows
+def tested(entries: DataFrame, contexts: DataFrame, levels: list[Level], roots: DataFrame, n: int) -> Level:
+    """The contexts that pass the divergence test, with their entries.
+
+    entries: s, h, n; contexts: s, states, total; roots: h and p, the root's probability.
+    """
+    rows = entries.join(contexts.select("s", "states", "total"), "s").join(roots, "h")
+    rows = resolved(rows, levels, F.col("states"), "below").withColumns(
+        {"share": F.col("n") / F.col("total"), "base": F.col("p") * F.pow(F.lit(10.0), "below")}
+    )
+    rows = saved(rows.select("s", "h", "total", "share", "base", "p", (F.col("n") * F.log(F.col("share") / F.col("base"))).alias("gain")))
+    sums = rows.groupBy("s").agg(
+        F.first("total").alias("total"), F.sum("share").alias("told"), F.sum("base").alias("expected"), F.sum("gain").alias("gain"), F.count("*").alias("many")
     )
-    keys, times = rows["value"].to_numpy(), rows["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order].astype(np.int64), times[order].astype(np.int64)
-
-
-def tested(
-    level: Level, totals: np.ndarray, keys: np.ndarray, times: np.ndarray, shorter: Level | None, parents: np.ndarray,
-    root: np.ndarray, n: int,
-) -> None:
-    """Fill the level from the counts of its entries; parents: each context's place in the shorter level, or -1."""
-    context, symbol = keys // WIDE, keys % WIDE
-    base = root[symbol].copy()
-    if shorter is not None and len(shorter.keys):
-        parent = parents[context]
-        kept = (parent >= 0) & shorter.kept[np.maximum(parent, 0)]
-        at = find(shorter.entries, np.where(kept, parent * WIDE + symbol, -1))
-        base *= 10 ** np.where(at >= 0, np.append(shorter.gains, 0)[at], np.where(kept, shorter.rest[parent], 0))
-    size = len(totals)
-    share = times / totals[context]
-
-    def total(weights: np.ndarray) -> np.ndarray:
-        return np.bincount(context, weights=weights, minlength=size).astype(float)
-
-    told, expected = total(share), np.minimum(total(base), 1 - 1e-9)
-    other = np.maximum(1 - told, 0)
-    gain = total(times * np.log(share / base))
-    gain += np.where(other > 0, totals * other * np.log(np.maximum(other, 1e-300) / (1 - expected)), 0)
-    cost = 0.5 * np.log(max(n, 2)) * (total(np.ones(len(keys))) + 1)
-    level.kept = (gain > cost) & (told > 0)
-    rest = 1 - KEEP * told
-    level.rest = np.where(level.kept, np.log10(rest), 0.0)
-    stay = level.kept[context]
-    level.entries = keys[stay]
-    level.gains = (np.log10(KEEP * share + rest[context] * base) - np.log10(root[symbol]))[stay]
-
-
-def grown(
-    training: DataFrame, head, root: np.ndarray, counts: np.ndarray, n: int, depth: int, context_share: float, entry_share: float
-) -> list[Level]:
+    other, expected = F.greatest(1 - F.col("told"), F.lit(0.0)), F.least("expected", F.lit(1 - 1e-9))
+    gain = F.col("gain") + F.when(other > 0, F.col("total") * other * F.log(other / (1 - expected))).otherwise(0.0)
+    kept = saved(
+        sums.where(gain > 0.5 * float(np.log(max(n, 2))) * (F.col("many") + 1))
+        .select("s", "total", "many", (1 - KEEP * F.col("told")).alias("left"), F.log10(1 - KEEP * F.col("told")).alias("rest"))
+    )
+    stay = rows.drop("total", "gain").join(kept.select("s", "left"), "s")
+    return Level(kept, saved(stay.select("s", "h", (F.log10(KEEP * F.col("share") + F.col("left") * F.col("base")) - F.log10("p")).alias("gain"))))
+
+
+def named(rows: DataFrame) -> DataFrame:
+    """s, words, states (of its proper suffixes) and total of contexts given by their words."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [states_of(sequence) for sequence in batch.column("words").to_pylist()]
+            yield pa.record_batch({
+                "s": pa.array([x[-1] for x in found], pa.int64()), "words": batch.column("words"),
+                "states": pa.array([x[:-1] for x in found], pa.list_(pa.int64())), "total": batch.column("total"),
+            })
+
+    return rows.mapInArrow(name, "s long, words array<long>, states array<long>, total long")
+
+
+def grown(training: DataFrame, counts: DataFrame, v: int, n: int, depth: int, context_least: int, entry_least: int) -> list[Level]:
     """The tree, level by level; each level takes one pass over the training texts."""
-    spark, tree = training.sparkSession, []
-    least, frequent = max(1, int(np.ceil(entry_share * n))), max(1, int(np.ceil(context_share * n)))
-    is_end = pc.equal(pc.binary_length(head.value[0]), 0).to_numpy(zero_copy_only=False)
-    keys = np.flatnonzero((counts >= frequent) & ~is_end).astype(np.int64)
-    totals, parents, shorter = counts[keys].astype(float), np.full(len(keys), -1, np.int64), None
-    for _ in range(depth):
-        if not len(keys):
+    levels: list[Level] = []
+    usual = saved(counts.where(F.col("n") >= min(context_least, entry_least)).select(F.xxhash64("value").alias("h"), "value", "n"))
+    symbols = usual.where(F.col("n") >= entry_least)
+    roots = symbols.select("h", ((F.col("n") + ADD) / (n + ADD * (v + 1))).alias("p"))
+    if symbols.isEmpty():
+        return levels
+    bits = bitmap(symbols, "h")
+    frequent = usual.where((F.col("n") >= context_least) & (F.col("value") != END))
+    contexts = saved(named(frequent.select(F.array("h").alias("words"), F.col("n").alias("total"))))
+    for length in range(1, depth + 1):
+        if contexts.isEmpty():
+            break
+        found = followers(training, bitmap(contexts, "s"), bits, length).where(F.col("n") >= entry_least)
+        found = saved(found.join(contexts.select("s"), "s", "left_semi"))
+        levels.append(tested(found, contexts, levels, roots, n))
+        # Longer contexts: the entries that are frequent enough and not the end.
+        following = found.where((F.col("n") >= context_least) & (F.col("h") != F.xxhash64(F.lit(END))))
+        contexts = saved(named(
+            following.join(contexts.select("s", "words"), "s").select(F.concat("words", F.array("h")).alias("words"), F.col("n").alias("total"))
+        ))
+    return levels
+
+
+@dataclass
+class Near:
+    """What is broadcast: contexts with what they leave, entries with their gains, and a bitmap of the other contexts."""
+
+    contexts: np.ndarray
+    rest: np.ndarray
+    entries: np.ndarray
+    gains: np.ndarray
+    far: np.ndarray | None
+
+
+def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each in the rising keys, -1 where absent."""
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def near_part(spark: SparkSession, levels: list[Level], most_contexts: int, most_entries: int) -> Near:
+    """The contexts from a total on, the least that keeps both limits, with all their entries."""
+    if not levels:
+        return Near(*(np.empty(0, kind) for kind in (np.uint64, float, np.uint64, float)), None)
+    contexts = levels[0].contexts
+    for level in levels[1:]:
+        contexts = contexts.unionByName(level.contexts)
+    # Totals to half powers of two: at most some 130 rows.
+    size = F.floor(2 * F.log2("total"))
+    steps = contexts.groupBy(size.alias("size")).agg(F.count("*").alias("n"), F.sum("many").alias("entries")).orderBy(F.desc("size")).collect()
+    least, n, entries = None, 0, 0
+    for step in steps:
+        n, entries = n + step.n, entries + step.entries
+        if n > most_contexts or entries > most_entries:
             break
-        level = Level(keys, np.zeros(len(keys)), np.zeros(len(keys), bool))
-        found, times = followers(training, head, spark.sparkContext.broadcast([*tree, level]), least)
-        tested(level, totals, found, times, shorter, parents, root, n)
-        tree.append(level)
-        # Longer contexts: the entries that are frequent enough and not the end; their suffix is the last word.
-        longer = (times >= frequent) & ~is_end[found % WIDE]
-        keys, totals, shorter = found[longer], times[longer].astype(float), level
-        parents = find(level.keys, keys % WIDE)
-    return tree
+        least = step.size
+    whole = least is not None and least == steps[-1].size
+    inner = size >= (least if least is not None else 1 << 20)
+    top = contexts.where(inner).select("s", "rest").toArrow()
+    parts = [level.entries.join(level.contexts.where(inner).select("s"), "s", "left_semi").toArrow() for level in levels]
+    keys = np.sort(top["s"].to_numpy().view(np.uint64)), np.argsort(top["s"].to_numpy().view(np.uint64))
+    s, h, gains = (np.concatenate([part[name].to_numpy() for part in parts]) for name in ("s", "h", "gain"))
+    pairs = entry(s.view(np.uint64), h.view(np.uint64))
+    order = np.argsort(pairs)
+    far = None if whole else bitmap(contexts.where(~inner), "s")
+    return Near(keys[0], top["rest"].to_numpy()[keys[1]], pairs[order], gains[order], far)
 
 
 def scored(
     docs: DataFrame, training: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH,
-    context_share: float = CONTEXT_SHARE, entry_share: float = ENTRY_SHARE, head_size: int = HEAD,
+    context_least: int = CONTEXT_LEAST, entry_least: int = ENTRY_LEAST, head_size: int = HEAD,
+    near_contexts: int = NEAR_CONTEXTS, near_entries: int = NEAR_ENTRIES,
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10) of every row of docs."""
-    if depth not in (1, 2):
-        raise ValueError("depth must be 1 or 2")
     spark = docs.sparkSession
     training = training.select(F.col(text_column).alias("text"))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     counts = saved(unigrams(training))
     v, n = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     top = counts.where(F.octet_length("value") <= HEAD_BYTES).orderBy(F.desc("n"), "value").limit(head_size).toArrow()
-    near = top["n"].to_numpy().astype(np.int64)
     whole = np.log10(n + ADD * (v + 1))
-    root = (near + ADD) / (n + ADD * (v + 1))
-    head = spark.sparkContext.broadcast((one(top["value"].cast(pa.large_string())), near))
-    tree = spark.sparkContext.broadcast(grown(training, head, root, near, n, depth, context_share, entry_share))
+    head = spark.sparkContext.broadcast((one(top["value"].cast(pa.large_string())), top["n"].to_numpy().astype(np.int64)))
+    levels = grown(training, counts, v, n, depth, context_least, entry_least)
+    tree = spark.sparkContext.broadcast(near_part(spark, levels, near_contexts, near_entries))
     identity = rows.schema["doc_id"].dataType.simpleString()
+    deepest = len(levels)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, times), levels = head.value, tree.value
+        (known, times), near = head.value, tree.value
         base = np.append(np.log10(times + ADD) - whole, 0.0)
         for table in slices(batches):
-            at, owner, distinct, codes = symbols(table, known)
-            size, found = table.num_rows, states(at, owner, levels)
-            gain, open_ = np.zeros(len(at)), np.ones(len(at), bool)
-            for level, state in zip(reversed(levels), reversed(found), strict=True):
-                here = open_ & (state >= 0)
-                here[here] = level.kept[state[here]]
-                place = find(level.entries, np.where(here & (at >= 0), state * WIDE + at, -1))
-                hit = place >= 0
-                gain[hit] += level.gains[place[hit]]
-                miss = here & ~hit
-                gain[miss] += level.rest[state[miss]]
-                open_ &= ~hit
+            owner, place, distinct, codes, hashes = tokens(table)
+            at, size, ids = places(distinct, known)[codes], table.num_rows, hashes[codes]
+            gain, open_, joined = np.zeros(len(ids)), np.ones(len(ids), bool), np.zeros(len(ids), bool)
+            found = list(states(ids, place, deepest))
+            if near.far is not None:
+                for here, state in found:
+                    joined[here] |= inside(near.far, state)
+                open_ = ~joined
+            for here, state in reversed(found):
+                left = open_[here]
+                here, state = here[left], state[left]
+                context = find(near.contexts, state)
+                here, state, context = here[context >= 0], state[context >= 0], context[context >= 0]
+                hit = find(near.entries, entry(state, ids[here]))
+                gain[here] += np.where(hit >= 0, near.gains[hit] if len(near.gains) else 0.0, near.rest[context])
+                open_[here[hit >= 0]] = False
             far = at < 0
             keys, repeats = np.unique(owner[far] * len(distinct) + codes[far], return_counts=True)
             rest = listed(
@@ -229,11 +371,30 @@ def scored(
                 "row": one(table["row"]), "doc_id": one(table["doc_id"]),
                 "n_tokens": pa.array(total(None).astype(np.int64)), "n_near": pa.array(total((~far).astype(float)).astype(np.int64)),
                 "near": pa.array(total(base[at])), "gain": pa.array(total(gain)), "rest": rest,
+                "joined": behind(owner, place, ids, joined, found, size),
             })
 
+    def behind(owner, place, ids, joined, found, size) -> pa.Array:
+        """Of each text the tokens that meet the tables: their states and symbol, each distinct one once."""
+        at = np.flatnonzero(joined)
+        lists = np.zeros((len(ids), deepest), np.uint64)
+        for k, (here, state) in enumerate(found):
+            lists[here, k] = state
+        symbol, lists, have = ids[at], lists[at], np.minimum(place[at], deepest)
+        key = entry(lists[np.arange(len(at)), have - 1], symbol) if len(at) else symbol
+        order = np.lexsort((key, owner[at]))
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(owner[at][order]) != 0) | (np.diff(key[order]) != 0)])) if len(at) else order
+        pick = order[new]
+        offsets = np.concatenate([[0], np.cumsum(have[pick])]).astype(np.int32)
+        inner = np.arange(deepest)[None, :] < have[pick][:, None]
+        arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(lists[pick][inner].view(np.int64)))
+        times = np.diff(np.append(new, len(order)))
+        return listed(owner[at][pick], size, {"states": arrays, "h": pa.array(symbol[pick].view(np.int64)), "times": pa.array(times)})
+
     parts = saved(
         rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            score, f"row long, doc_id {identity}, n_tokens long, n_near long, near double, gain double, rest array<struct<value:string,n:long>>"
+            score, f"row long, doc_id {identity}, n_tokens long, n_near long, near double, gain double, rest array<struct<value:string,n:long>>, "
+            "joined array<struct<states:array<long>,h:long,times:long>>"
         )
     )
     # A hit's gain is relative to the root, a miss adds what is left on the way to the root.
@@ -245,10 +406,15 @@ def scored(
             F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("n_far"),
         )
     )
+    out = parts.drop("rest", "joined").join(far, "row", "left").withColumn("more", F.lit(0.0))
+    if tree.value.far is not None:
+        some = parts.select("row", F.explode("joined").alias("x")).select("row", "x.*")
+        gains = resolved(some, levels, F.col("states"), "gain").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("more"))
+        out = out.drop("more").join(gains, "row", "left")
     base = F.col("near") + F.coalesce("far", F.lit(0.0))
-    return parts.drop("rest").join(far, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_near") + F.coalesce("n_far", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
+    return out.select(
+        "doc_id", "n_tokens", (F.col("n_near") + F.coalesce("n_far", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        base.alias("base_score"), (base + F.col("gain") + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
 
 
