@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from llm.common import awkward, prose, rows, table
 
-from tidemark.llm import compression, parsing, queries, semantic, simhash, suffix_tree, token_counts
+from tidemark.llm import bitmaps, compression, parsing, queries, semantic, simhash, suffix_tree, token_counts
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -151,9 +151,11 @@ def test_what_the_tree_learns_grows(spark):
 
 def test_bitmaps(spark):
     pick = np.random.default_rng(6).integers(-(2**63), 2**63, 3000)
-    bits = suffix_tree.bitmap(spark.createDataFrame([(int(x),) for x in pick[:1000]], "k long"), "k", 20)
-    found = suffix_tree.inside(bits, pick.view(np.uint64))
-    assert found[:1000].all() and found[1000:].mean() < 0.01 and len(bits) == 1 << 17
+    bits = bitmaps.bitmap(spark.createDataFrame([(int(x),) for x in pick[:1000]], "k long"), "k")
+    found = bitmaps.inside(bits, pick.view(np.uint64))
+    assert found[:1000].all() and found[1000:].mean() < 0.05 and len(bits) == 1 << 12
+    full = bitmaps.bitmap(spark.createDataFrame([(int(x),) for x in pick], "k long"), "k", 16)
+    assert len(full) == 1 << 13 and bitmaps.inside(full, pick.view(np.uint64)).all()
 
 
 def test_states():

@@ -11,7 +11,7 @@ Smoothing. P_s(w) = 0.9 n(s, w) / n(s) for an entry, plus b_s * P_suffix(w) for
 what the entries leave of 1; so every distribution sums to 1. A token is scored in its longest kept suffix.
 
 Tables. Words and sequences go by 64-bit hashes. Each level takes one pass over the training texts: (context, symbol) pairs
-are counted, folded in the tasks. Pairs are left out early where a bitmap of `BITS` bits, as large for any corpus, tells
+are counted, folded in the tasks. Pairs are left out early where a bitmap, as large for any corpus, tells
 that the context or the symbol is too rare; what passes by chance is dropped by a join later. Contexts and entries are Spark
 tables; the test and the smoothing are joins and sums over them.
 
@@ -31,15 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import Tally, coded, listed, one, places, slices, words
+from tidemark.llm.bitmaps import bitmap, inside
 from tidemark.llm.shared import fold, load, saved
 
 FOLDS, DEPTH, CONTEXT_LEAST, ENTRY_LEAST = 10, 3, 64, 8
 HEAD, HEAD_BYTES, ADD, KEEP = 1 << 18, 64, 0.1, 0.9
-NEAR_CONTEXTS, NEAR_ENTRIES, BITS = 1 << 19, 1 << 21, 27
+NEAR_CONTEXTS, NEAR_ENTRIES = 1 << 19, 1 << 21
 #: Tokens that are counted at once, and partial counts that are held in a task.
 ROWS, HELD = 1_000_000, 1_500_000
 #: The end as a value; no word is empty. Spark's own hash of a string is this one, with this seed.
@@ -100,31 +102,6 @@ def states(ids: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[np.
         yield at, state[at]
 
 
-def bitmap(keys: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
-    """A bitmap of 2^bits bits, two of them set for each key; it comes to the driver in parts of 4 KB, 2^bits bits at most."""
-    key, most = F.col(column), (1 << bits) - 1
-    probes = F.array(*[probe.bitwiseAND(most) + 1 for probe in (key, F.shiftrightunsigned(key, 32))])
-    rows = keys.select(F.explode(probes).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("set")
-    )
-    out = np.zeros(max(1 << (bits - 3), 4096), np.uint8)
-    for row in rows.toLocalIterator():
-        out[(row.part - 1) * 4096 : row.part * 4096] = np.frombuffer(row.set, np.uint8)
-    return out[: 1 << (bits - 3)]
-
-
-def inside(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether both bits of each key are set: of all keys that the bitmap was made of, and few others."""
-    most = np.uint64(len(bits) * 8 - 1)
-
-    def probe(x: np.ndarray) -> np.ndarray:
-        return (bits[x >> np.uint64(3)] >> (x & np.uint64(7)).astype(np.uint8)) & 1 != 0
-
-    found = probe(keys & most)
-    found[found] = probe((keys[found] >> np.uint64(32)) & most)
-    return found
-
-
 def unigrams(training: DataFrame) -> DataFrame:
     """value and n of all training tokens."""
 
@@ -151,12 +128,11 @@ def folded(parts: list[Pairs]) -> Pairs:
     return state[first], symbol[first], np.bincount(code, weights=times).astype(np.int64)
 
 
-def followers(training: DataFrame, contexts: np.ndarray, symbols: np.ndarray, length: int) -> DataFrame:
+def followers(training: DataFrame, contexts: Broadcast, symbols: Broadcast, length: int) -> DataFrame:
     """s, h and n: how often a symbol follows a context of the given length, where the bitmaps have both."""
-    model = training.sparkSession.sparkContext.broadcast((contexts, symbols))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        some, usual = model.value
+        some, usual = contexts.value, symbols.value
         raw, held = [], []
         for table in slices(batches):
             _, place, _, codes, hashes = tokens(table)
@@ -256,13 +232,14 @@ def grown(training: DataFrame, counts: DataFrame, v: int, n: int, depth: int, co
     roots = symbols.select("h", ((F.col("n") + ADD) / (n + ADD * (v + 1))).alias("p"))
     if symbols.isEmpty():
         return levels
-    bits = bitmap(symbols, "h")
+    spread = training.sparkSession.sparkContext.broadcast
+    bits = spread(bitmap(symbols, "h"))
     frequent = usual.where((F.col("n") >= context_least) & (F.col("value") != END))
     contexts = saved(named(frequent.select(F.array("h").alias("words"), F.col("n").alias("total"))))
     for length in range(1, depth + 1):
         if contexts.isEmpty():
             break
-        found = followers(training, bitmap(contexts, "s"), bits, length).where(F.col("n") >= entry_least)
+        found = followers(training, spread(bitmap(contexts, "s")), bits, length).where(F.col("n") >= entry_least)
         found = saved(found.join(contexts.select("s"), "s", "left_semi"))
         levels.append(tested(found, contexts, levels, roots, n))
         # Longer contexts: the entries that are frequent enough and not the end.
