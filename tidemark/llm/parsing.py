@@ -7,20 +7,23 @@ hi + 199: phrases overlap by 199 bytes, so every string lies whole in exactly on
 strings by their first 200 bytes the order of dictionary phrases' suffixes decides all; the order of the parse, which
 sorts on beyond that, isn't needed. Phrases are cut at text ends, and at a million bytes of one text.
 
-Dictionary. Phrases are sorted by their core (the 64 bytes at the trigger) and content. Neighbours tell: a core that
-comes once holds no repeat; equal phrases repeat wholly; phrases that share a core only are open.
+Dictionary. Phrases are counted by their core (the 64 bytes at the trigger), with the smallest and the largest content, combined in
+the tasks: a core that comes once holds no repeat, and one with a single content repeats wholly. Of the other cores' contents
+those that come twice repeat wholly too, and one phrase of each content is open. The texts are parsed a second time for the
+phrases of cores that come twice, told early by a bitmap of fixed size.
 
 Suffixes. Open phrases, each with the number of its occurrences, are parsed again with triggers 16 in a row and cores
-of 185 bytes, kept with the at most 15 bytes at either side; equal phrases repeat wholly, and for the others
-the suffixes that start at each byte are grouped by their 200 bytes and counted; no suffix array is built. Marks of repeated starts go back to their
-texts, which cover the bytes, join the rest and digest it.
+of 185 bytes, kept with the at most 15 bytes at either side. Contents are counted first, so equal ones meet once; a core of one
+content repeats wholly, and for the others the suffixes that start at each byte are grouped by their 200 bytes and
+counted; no suffix array is built. Marks of repeated starts go back to their texts, which cover the bytes, join the rest and digest it.
 
 Cases. A null text counts as empty. Texts under 200 bytes lose nothing. Rows with equal identifier and text are two
 texts, each repeating the other. Null identifiers are identifiers. Other columns are not read. An empty table:
 no rows.
 
-Plan. One exchange of 24 bytes for about 64 bytes of text, by core; texts are shuffled once, for both joins.
-A core is as frequent as one string of 64 bytes can be; the window over it spills.
+Plan. One exchange of 32 bytes for about 64 bytes of text, by core; texts are shuffled once, for both joins. Every count is combined
+in the tasks, and rows meet what was counted in joins that Spark splits, so a passage in a third of all
+texts spreads over tasks.
 """
 
 from __future__ import annotations
@@ -30,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import one, slices
+from tidemark.llm.bitmaps import bitmap, inside
 from tidemark.llm.shared import load, saved, text_of
 
 LENGTH, GRAM, WIDE, NARROW = 200, 16, 128, 16
@@ -119,8 +123,9 @@ def _joined(rows, offsets, parts):
     return np.array(rows), np.array(offsets, np.int64), np.array([len(p) for p in parts], np.int64), np.frombuffer(b"".join(parts), np.uint8)
 
 
-def phrases(texts: DataFrame) -> DataFrame:
-    """core, content, r1, r2 and span (low * 256 + high - low) of every phrase."""
+def phrases(texts: DataFrame, cores: np.ndarray | None = None) -> DataFrame:
+    """core, content, r1, r2 and span (low * 256 + high - low) of every phrase; with a bitmap, of those with its cores."""
+    wanted = texts.sparkSession.sparkContext.broadcast(cores)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -130,8 +135,12 @@ def phrases(texts: DataFrame) -> DataFrame:
                 low, high, trigger, owner, grams, letters = parsed(hasher, data, sizes, WIDE)
                 content = hasher.ranges(letters, low, high + LENGTH)
                 start = (np.cumsum(sizes) - sizes)[owner]
+                core = grams[CORE][trigger]
+                if wanted.value is not None:
+                    some = inside(wanted.value, core)
+                    core, content, owner, low, high, start = (x[some] for x in (core, content, owner, low, high, start))
                 yield pa.record_batch({
-                    "core": pa.array(grams[CORE][trigger].view(np.int64)), "content": pa.array(content.view(np.int64)),
+                    "core": pa.array(core.view(np.int64)), "content": pa.array(content.view(np.int64)),
                     "r1": pa.array(r1[rows[owner]]), "r2": pa.array(r2[rows[owner]]),
                     "span": pa.array((low - start + offsets[owner]) * 256 + (high - low)),
                 })
@@ -139,18 +148,16 @@ def phrases(texts: DataFrame) -> DataFrame:
     return texts.select("r1", "r2", "text").mapInArrow(parse, "core long, content long, r1 long, r2 long, span long")
 
 
-def marked(found: DataFrame) -> DataFrame:
-    """r1, r2, span, whole (it repeats) and weight (not null: open, or stands for the equal ones of an open core)."""
-    order = Window.partitionBy("core").orderBy("content")
-    before, after, first = F.lag("content").over(order), F.lead("content").over(order), F.first("content").over(order)
-    rows = found.select("r1", "r2", "span", "content", before.alias("before"), after.alias("after"), first.alias("first"))
-    whole = F.coalesce(F.col("before") == F.col("content"), F.lit(False)) | F.coalesce(F.col("after") == F.col("content"), F.lit(False))
-    stands = F.coalesce(F.col("before") != F.col("content"), F.lit(False)) | (
-        F.coalesce(F.col("after") != F.col("content"), F.lit(False)) & (F.col("content") == F.col("first"))
-    )
-    return rows.where("before is not null or after is not null").select(
-        "r1", "r2", "span", whole.alias("whole"), F.when(stands, F.when(whole, 2).otherwise(1)).alias("weight")
-    ).where("whole or weight is not null")
+def marked(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Phrases (r1, r2, span) that repeat wholly, and open ones with their weight: 2 stands for a content that comes more often."""
+    found = phrases(texts).groupBy("core").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high"))
+    cores = saved(found.where("n > 1").select("core", (F.col("low") == F.col("high")).alias("alike")))
+    rows = saved(phrases(texts, bitmap(cores, "core")).join(cores, "core"))
+    open_ = rows.where("not alike")
+    contents = saved(open_.groupBy("core", "content").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "span")).alias("row")))
+    twice = open_.join(contents.where("n > 1").select("core", "content"), ["core", "content"], "left_semi")
+    wholes = rows.where("alike").select("r1", "r2", "span").unionByName(twice.select("r1", "r2", "span"))
+    return wholes, contents.select("row.*", F.when(F.col("n") > 1, 2).otherwise(1).alias("weight"))
 
 
 def suffixes(texts: DataFrame, open_: DataFrame) -> DataFrame:
@@ -197,24 +204,23 @@ def suffixes(texts: DataFrame, open_: DataFrame) -> DataFrame:
 
 def repeated(parts: DataFrame) -> DataFrame:
     """r1, r2, low, high: the starts in open phrases whose strings come twice."""
-    core, same = Window.partitionBy("core"), Window.partitionBy("core", "left", "right")
-    rows = (
-        parts.withColumns({"all": F.sum("weight").over(core), "equal": F.sum("weight").over(same)})
-        .where("all > 1")
-    )
+    content = ["core", "left", "right"]
+    contents = parts.groupBy(*content).agg(F.sum("weight").alias("n"))
+    cores = contents.groupBy("core").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).where("all > 1")
+    shared = saved(contents.join(cores.select("core", "kinds"), "core"))
     # Where all share one content it repeats whole; else every start is compared on its own.
-    alike = F.col("all") == F.col("equal")
-    whole = F.array(F.struct("low", "high"))
-    each = F.transform(F.sequence("low", "high"), lambda p: F.struct(p.alias("low"), p.alias("high")))
-    back = F.when(alike, -1).otherwise((F.col("trigger") - F.col("span.low")).cast("int"))
-    return (
-        rows.withColumn("span", F.explode(F.when(alike, whole).otherwise(each)))
-        .withColumn("back", back)
-        .withColumn("head", F.when(alike, F.lit(b"")).otherwise(F.substr("left", F.octet_length("left") - F.col("back") + 1, F.col("back"))))
-        .withColumn("tail", F.when(alike, F.lit(b"")).otherwise(F.substr("right", F.lit(1), NARROW - 1 - F.col("back"))))
-        .withColumn("n", F.sum("weight").over(Window.partitionBy("core", "back", "head", "tail")))
-        .where("n > 1").select("r1", "r2", "span.low", "span.high")
-    )
+    alike = shared.where("kinds = 1").select(*content, F.lit(None).cast("array<int>").alias("backs"))
+    backs = F.sequence(F.lit(NARROW - 1) - F.octet_length("right"), F.octet_length("left"))
+    starts = shared.where("kinds > 1").select(*content, "n", F.explode(backs).alias("back")).withColumns({
+        "head": F.substr("left", F.octet_length("left") - F.col("back") + 1, F.col("back")),
+        "tail": F.substr("right", F.lit(1), NARROW - 1 - F.col("back")),
+    })
+    string = ["core", "back", "head", "tail"]
+    twice = starts.groupBy(*string).agg(F.sum("n").alias("n")).where("n > 1").select(*string)
+    some = starts.join(twice, string, "left_semi").groupBy(*content).agg(F.collect_list("back").alias("backs"))
+    each = F.transform("backs", lambda back: F.struct((F.col("trigger") - back).alias("low"), (F.col("trigger") - back).alias("high")))
+    spans = F.when(F.col("backs").isNull(), F.array(F.struct("low", "high"))).otherwise(each)
+    return parts.join(alike.unionByName(some), content).select("r1", "r2", F.explode(spans).alias("span")).select("r1", "r2", "span.*")
 
 
 def cleaned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -222,11 +228,11 @@ def cleaned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     rows = docs.select(F.col(id_column).alias("doc_id"), text_of(text_column).alias("t")).select(
         "doc_id", F.xxhash64("t").alias("r1"), F.xxhash64("doc_id").alias("r2"), F.col("t").cast("binary").alias("text")
     )
-    marks = saved(marked(phrases(rows)))
+    whole, open_ = marked(rows)
     texts = rows.repartition("r1", "r2")
-    ends = repeated(suffixes(texts, marks.where("weight is not null").select("r1", "r2", "span", "weight")))
+    ends = repeated(saved(suffixes(texts, open_)))
     low = F.shiftright("span", 8)
-    wholes = marks.where("whole").select("r1", "r2", low.alias("low"), (low + F.col("span").bitwiseAND(255)).alias("high"))
+    wholes = whole.select("r1", "r2", low.alias("low"), (low + F.col("span").bitwiseAND(255)).alias("high"))
     spans = wholes.unionByName(ends).groupBy("r1", "r2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     identity = rows.schema["doc_id"].dataType.simpleString()
 
