@@ -6,9 +6,10 @@ through a keyed aggregation whose state, in RocksDB and never expired, holds for
 stays (most code points in the original text, then smallest identifier, then locator) and the number of
 rows. Later batches update it: the stream can go on where it stopped, from the same checkpoint.
 
-Hits are checked in full: a digest's rows are the same text only if the smallest and the largest of their
-texts agree byte by byte. The aggregation combines map-side, so a group of any size sends one text
-per task. Digests under which texts differ are grouped anew by the whole text.
+Hits are checked in full: the rows of a digest that came more than once are the same text only if the smallest and the
+largest of their texts agree byte by byte. Texts without a hit stay where they are while such digests are `HITS` at most, whose hashes
+are then broadcast (some 16 MB); beyond that texts meet them in a shuffled join. The aggregation combines map-side, so a group
+of any size sends one text per task. Digests under which texts differ are grouped anew by the whole text.
 
 Cases. A null text counts as empty; empty texts form a group. A null identifier loses to any other. Of
 rows that agree in length and identifier, one stays. Other columns are not read, and
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import load, located, saved, scratch, text_of, without_spaces
 
+#: Digests with a hit whose hashes are broadcast.
+HITS = 1_000_000
+
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -113,8 +117,10 @@ def groups_of(rows: DataFrame, id_column: str, text_column: str, digest_chars: i
     arrivals = spark.read.schema(arrivals.schema).parquet(f"{folder}/arrivals")
     stays = resolve(arrivals, folder, f"{folder}/arrivals")
 
+    hits = saved(stays.where("n > 1").select(F.xxhash64("digest").alias("hit")).distinct())
+    few = F.broadcast(hits) if hits.count() <= HITS else hits
     differ = saved(
-        texts.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+        texts.join(few, F.xxhash64("digest") == F.col("hit"), "left_semi").groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
         .where("low != high").select("digest")
     )
     if differ.isEmpty():
