@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +28,32 @@ def scratch(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    for paths in _noted:
+        paths.append(path)
+    return path
+
+
+#: Lists that note the folders made while they are here.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The folders that are made in this block, in order; for `removed`, once nothing reads them any more."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.pop()  # blocks end in turn
+
+
+def removed(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch folders."""
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def saved(df: DataFrame) -> DataFrame:
