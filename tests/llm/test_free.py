@@ -37,6 +37,67 @@ def test_quality_on_held_out_rows(spark):
     assert sum(p == 0 for p, q in held if q == 1) <= 0.03 * len(held)
 
 
+def plain_quality(texts, labels):
+    """Scores by the docstring's rules: a dictionary of two thirds of each label's sample, sizes block by block, the curve
+    by plain Newton steps over the rest."""
+    import zstandard
+
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    shown = {i: q for i, q in labels.items() if i in texts and q in (0, 1) and fold(i, 5)}
+    share = Counter(shown.values())
+    sample = {
+        q: [texts[i].encode() for i in sorted(
+            (i for i, x in shown.items() if x == q and 1 <= len(texts[i].encode()) <= compression.TEXT_BYTES),
+            key=lambda i: (signed(xxhash.xxh64_intdigest(str(i), 42)), str(i)),
+        )[: compression.SAMPLE]] for q in (0, 1)
+    }
+    cut = {q: (2 * len(t) + 2) // 3 for q, t in sample.items()}
+    books = [zstandard.ZstdCompressionDict(compression.trained(sample[q][: cut[q]])) for q in (1, 0)]
+
+    def size(text, book=None):
+        whole = 0
+        for k in range(0, len(text), 65_536):
+            make = lambda: zstandard.ZstdCompressor(level=3, write_content_size=False, **({"dict_data": book, "write_dict_id": False} if book else {}))
+            whole += len(make().compress(text[k : k + 65_536])) - len(make().compress(b""))
+        return max(1, whole)
+
+    def measures(text):
+        if not text:
+            return [0.0, 0.0, 0.0, 1.0]
+        good, bad, plain = size(text, books[0]), size(text, books[1]), size(text)
+        ratio = min(0.0, math.log(plain / len(text)))
+        return [(bad - good) / plain, ratio, ratio**2, 1.0]
+
+    rest = {q: t[cut[q] :] or t for q, t in sample.items()}
+    x = np.array([measures(t) for q in (0, 1) for t in rest[q]])
+    y = np.array([float(q) for q in (0, 1) for _ in rest[q]])
+    w = np.zeros(4)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(x @ w)))
+        slope = sum((yk - pk) * xk for xk, yk, pk in zip(x, y, p, strict=True)) - np.array([0.01, 0.01, 0.01, 1e-9]) * w
+        bend = sum(pk * (1 - pk) * np.outer(xk, xk) for xk, pk in zip(x, p, strict=True)) + np.diag([0.01, 0.01, 0.01, 1e-9])
+        w = w + np.linalg.inv(bend) @ slope
+    w[3] += math.log(share[1] / share[0]) - math.log(len(rest[1]) / len(rest[0]))
+    return {i: 1 / (1 + math.exp(-float(np.dot(measures(t.encode()), w)))) for i, t in texts.items()}
+
+
+def test_quality_against_plain_version(spark, documents):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    want = plain_quality(documents, labels)
+    got = {r.doc_id: r for r in queries()["op3_quality"](spark, SMALL).collect()}
+    assert got.keys() == want.keys()
+    for i, r in got.items():
+        assert r.score == pytest.approx(want[i], abs=1e-6) and r.predicted == (r.score >= 0.3) and r.held_out == (fold(i, 5) == 0)
+
+
+def test_dictionaries_of_few_texts():
+    """Too few texts for zstandard's training: their bytes are the dictionary."""
+    texts = [b"some good text", b"another one"]
+    assert compression.trained(texts) == b"some good text\nanother one"
+    many = [prose(k, 200).encode() for k in range(300)]
+    assert compression.trained(many) not in (b"", b"\n".join(many)[-compression.DICTIONARY :])
+
+
 def test_quality_cases(spark):
     docs = table(spark, awkward())
     none = docs.selectExpr("doc_id", "text", "cast(null as int) quality")
