@@ -219,6 +219,16 @@ def test_bitmaps(spark):
     assert len(full) == 1 << 13 and bitmaps.inside(full, pick.view(np.uint64)).all()
 
 
+def test_hashes_of_words():
+    import pyarrow as pa
+
+    words = sorted({prose(k, 1, 3000) for k in range(3000)} | {"", "a", "aa", "aaa", "é", "日本", "ab", "ba"})
+    found = suffix_tree.numbers(pa.array(words, pa.large_string()))
+    assert len(set(found.tolist())) == len(words)
+    cut = suffix_tree.numbers(pa.array(words, pa.large_string()).slice(5, 9))
+    assert (cut == found[5:14]).all() and len(suffix_tree.numbers(pa.array([], pa.large_string()))) == 0
+
+
 def test_states():
     ids = np.arange(5, dtype=np.uint64) * np.uint64(77)
     *_, (at, last) = suffix_tree.states(ids, np.array([0, 1, 2, 3, 0]), 3)

@@ -39,21 +39,30 @@ from tidemark.llm.batches import Tally, coded, listed, one, places, slices, word
 from tidemark.llm.bitmaps import bitmap, inside
 from tidemark.llm.shared import fold, load, saved
 
-FOLDS, DEPTH, CONTEXT_LEAST, ENTRY_LEAST = 10, 3, 64, 8
+FOLDS, DEPTH, CONTEXT_LEAST, ENTRY_LEAST = 10, 3, 256, 16
 HEAD, HEAD_BYTES, ADD, KEEP = 1 << 18, 64, 0.1, 0.9
 NEAR_CONTEXTS, NEAR_ENTRIES = 1 << 19, 1 << 21
 #: Tokens that are counted at once, and partial counts that are held in a task.
-ROWS, HELD = 1_000_000, 1_500_000
-#: The end as a value; no word is empty. Spark's own hash of a string is this one, with this seed.
+ROWS, HELD = 500_000, 700_000
+#: The end as a value; no word is empty.
 END, SEED = "", 42
 ODD, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
-def numbers(distinct: pa.Array) -> np.ndarray:
-    """64-bit hashes of words."""
-    import xxhash
+LETTERS = np.random.default_rng(SEED).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    return np.array([xxhash.xxh64_intdigest(word, SEED) for word in distinct.to_pylist()], np.uint64)
+
+def numbers(distinct: pa.Array) -> np.ndarray:
+    """64-bit hashes of words: polynomials over random numbers for their bytes, all words at once by sums from the left."""
+    offsets = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
+    data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+    powers, inverse = (
+        np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(data), base, np.uint64)]))
+        for base in (int(ODD), pow(int(ODD), -1, 1 << 64))
+    )
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(LETTERS[data] * powers[:-1], dtype=np.uint64)])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -124,8 +133,13 @@ Pairs = tuple[np.ndarray, np.ndarray, np.ndarray]
 def folded(parts: list[Pairs]) -> Pairs:
     """Pairs (state, symbol) with their counts, each once."""
     state, symbol, times = (np.concatenate(x) for x in zip(*parts, strict=True))
-    _, first, code = np.unique(entry(state, symbol), return_index=True, return_inverse=True)
-    return state[first], symbol[first], np.bincount(code, weights=times).astype(np.int64)
+    if not len(state):
+        return state, symbol, times
+    key = entry(state, symbol)
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return state[order[new]], symbol[order[new]], np.add.reduceat(times[order], new)
 
 
 def followers(training: DataFrame, contexts: Broadcast, symbols: Broadcast, length: int) -> DataFrame:
@@ -156,7 +170,21 @@ def followers(training: DataFrame, contexts: Broadcast, symbols: Broadcast, leng
             state, symbol, times = (x[begin : begin + 100_000] for x in pairs)
             yield pa.record_batch({"s": pa.array(state.view(np.int64)), "h": pa.array(symbol.view(np.int64)), "n": pa.array(times)})
 
-    return training.select("text").mapInArrow(count, "s long, h long, n long").groupBy("s", "h").agg(F.sum("n").alias("n"))
+    # Added up in the tasks already; adding up again before the exchange would find nothing.
+    pairs = training.select("text").mapInArrow(count, "s long, h long, n long")
+    partitions = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(partitions, "s", "h").groupBy("s", "h").agg(F.sum("n").alias("n"))
+
+
+def hashed(counts: DataFrame) -> DataFrame:
+    """h, the hash of the word, value and n."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("value").cast(pa.large_string())
+            yield pa.record_batch({"h": pa.array(numbers(values).view(np.int64)), "value": batch.column("value"), "n": batch.column("n")})
+
+    return counts.mapInArrow(make, "h long, value string, n long")
 
 
 @dataclass
@@ -227,12 +255,13 @@ def named(rows: DataFrame) -> DataFrame:
 def grown(training: DataFrame, counts: DataFrame, v: int, n: int, depth: int, context_least: int, entry_least: int) -> list[Level]:
     """The tree, level by level; each level takes one pass over the training texts."""
     levels: list[Level] = []
-    usual = saved(counts.where(F.col("n") >= min(context_least, entry_least)).select(F.xxhash64("value").alias("h"), "value", "n"))
+    usual = saved(hashed(counts.where(F.col("n") >= min(context_least, entry_least))))
     symbols = usual.where(F.col("n") >= entry_least)
     roots = symbols.select("h", ((F.col("n") + ADD) / (n + ADD * (v + 1))).alias("p"))
     if symbols.isEmpty():
         return levels
     spread = training.sparkSession.sparkContext.broadcast
+    end = int(numbers(pa.array([END], pa.large_string())).view(np.int64)[0])
     bits = spread(bitmap(symbols, "h"))
     frequent = usual.where((F.col("n") >= context_least) & (F.col("value") != END))
     contexts = saved(named(frequent.select(F.array("h").alias("words"), F.col("n").alias("total"))))
@@ -243,7 +272,7 @@ def grown(training: DataFrame, counts: DataFrame, v: int, n: int, depth: int, co
         found = saved(found.join(contexts.select("s"), "s", "left_semi"))
         levels.append(tested(found, contexts, levels, roots, n))
         # Longer contexts: the entries that are frequent enough and not the end.
-        following = found.where((F.col("n") >= context_least) & (F.col("h") != F.xxhash64(F.lit(END))))
+        following = found.where((F.col("n") >= context_least) & (F.col("h") != end))
         contexts = saved(named(
             following.join(contexts.select("s", "words"), "s").select(F.concat("words", F.array("h")).alias("words"), F.col("n").alias("total"))
         ))
