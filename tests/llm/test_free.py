@@ -399,6 +399,16 @@ def test_removal_on_documents(spark, documents):
     check_removal(spark, [(i, t, "s") for i, t in documents.items()])
 
 
+def test_removal_across_a_chunk_of_a_long_text(spark):
+    """A passage that lies over the border of a million bytes, and one that a text holds twice, far apart."""
+    passage, twice = prose(900, 90), prose(901, 60)
+    long = prose(902, 170_000, 5000).encode()[:1_100_000].decode()
+    a = f"{long[:999_800]}#{passage}@{long[999_800:1_050_000]}#{twice}@{long[1_050_000:]}#{twice}%"
+    got = rows(parsing.cleaned(table(spark, [(1, a, "s"), (2, f"%{passage}!", "s")])), "doc_id", "n_bytes", "n_removed", "n_spans")
+    # What stands before and behind a passage differs, but for the '#' before one that stands twice behind it.
+    assert got == [(1, len(a), len(passage) + 2 * (len(twice) + 1), 3), (2, len(passage) + 2, len(passage), 1)]
+
+
 def test_removal_in_chunks(spark, monkeypatch):
     """Long texts are parsed in chunks."""
     hashed = parsing.Hasher
