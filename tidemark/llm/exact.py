@@ -115,7 +115,7 @@ def groups_of(rows: DataFrame, id_column: str, text_column: str, digest_chars: i
     arrivals = texts.drop("text")
     arrivals.write.parquet(f"{folder}/arrivals")
     arrivals = spark.read.schema(arrivals.schema).parquet(f"{folder}/arrivals")
-    stays = resolve(arrivals, folder, f"{folder}/arrivals")
+    stays = saved(resolve(arrivals, folder, f"{folder}/arrivals"))  # a table, so that Spark splits a hot digest's join
 
     hits = saved(stays.where("n > 1").select(F.xxhash64("digest").alias("hit")).distinct())
     few = F.broadcast(hits) if hits.count() <= HITS else hits
