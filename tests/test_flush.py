@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from test_streaming import EVENT, batches, event_rows, pattern
 
 from tidemark import schemas
-from tidemark.operators import gating, patterns, ranking, windows
+from tidemark.plans.sensors import GeometricMean, fold_mean
+from tidemark.operators import aggregates, gating, patterns, ranking, windows
 from tidemark.sinks import streams
+from tidemark.streaming import aggregates as stream_aggregates
 from tidemark.streaming import events, flush, jobs
 from tidemark.streaming import gating as stream_gating
 from tidemark.streaming import patterns as stream_patterns
@@ -145,3 +147,51 @@ def test_url_report_lines(spark, replay, tmp_path):
     ranked = ranking.numbered(counts, ["window_start"], [F.desc("view_count"), F.asc("url")], total="n_rows")
     want = on(ranking.traffic_report_lines(ranked, "n_rows"), F.col("window_start").cast("timestamp"), "line_no", "line")
     assert got and left and sorted(got + left) == want
+
+
+TEMPERATURE = "id bigint, key bigint, ts timestamp_ntz, temperature double"
+
+
+def readings(seed):
+    """Rows of five sensors, up to 4 seconds behind the latest time, one sensor with a third of them."""
+    mixed = sorted(event_rows(seed, n=2500, span=900), key=lambda r: r[3] + timedelta(seconds=(r[0] * 7919) % 4))
+    return [(i, key, ts, 0.5 + i % 11) for i, key, _, ts in mixed]
+
+
+def test_own_aggregate_of_windows(spark, replay, ended):
+    """A caller's own aggregate over a stream's windows, tumbling and sliding, with the rest as in batch."""
+    rows = readings(16)
+    batch = spark.createDataFrame(rows, TEMPERATURE)
+    for slide, name in ((None, "tumbling"), ("30 seconds", "sliding")):
+        timed = events.event_time(replay(batches(rows, 5), TEMPERATURE), delay=events.SENSOR_DISORDER)
+        mean = GeometricMean("temperature")
+        got, checkpoint = ended(stream_aggregates.aggregated(timed, ["key"], "ts", "1 minute", mean, slide), name)
+        left = on(flush.aggregates(spark, checkpoint, ["key"], mean), "key", "window_start", "window_end", "mean")
+        window = F.window("ts", "1 minute", slide)
+        given = batch.withColumn("w", window).select("*", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")).drop("w")
+        want = on(aggregates.aggregated(given, ["key", "window_start", "window_end"], mean), "key", "window_start", "window_end", "mean")
+        assert got and left and sorted(got + left) == [(*row[:3], pytest.approx(row[3])) for row in want]
+
+
+def test_function_of_whole_windows(spark, replay, ended):
+    """The whole-window function on a stream: several batches for a window of over 1,000 rows."""
+    rows = readings(17)
+    timed = events.event_time(replay(batches(rows, 4), TEMPERATURE), delay=events.SENSOR_DISORDER)
+    stream = stream_aggregates.by_window(timed, ["key"], "ts", "10 minutes", fold_mean, "temperature double")
+    got, checkpoint = ended(stream, "function")
+    left = on(flush.by_window(timed, checkpoint, ["key"], fold_mean, "temperature double"), "key", "window_start", "window_end", "temperature")
+    batch = aggregates.by_window(spark.createDataFrame(rows, TEMPERATURE), ["key"], "ts", "10 minutes", fold_mean, "temperature double")
+    times_ = [F.col(c).cast("timestamp") for c in ("window_start", "window_end")]
+    want = on(batch, "key", *times_, "temperature")
+    assert got and left and sorted(got + left) == [(*row[:3], pytest.approx(row[3])) for row in want]
+
+
+def test_a_row_is_late_when_its_window_is_over(replay, ended):
+    def row(i, second, value):
+        return (i, 1, datetime(2024, 1, 1) + timedelta(seconds=second), value)
+
+    # Behind the watermark but in an open window (70), and in one that is over (30).
+    parts = [[row(0, 0, 1.0), row(1, 100, 2.0)], [row(2, 101, 2.0)], [row(3, 70, 2.0), row(4, 30, 9.0)], [row(5, 400, 1.0)], [row(6, 401, 1.0)]]
+    timed = events.event_time(replay(parts, TEMPERATURE))
+    got, _ = ended(stream_aggregates.by_window(timed, ["key"], "ts", "1 minute", fold_mean, "temperature double"), "late")
+    assert [r[3] for r in sorted(got)] == [1.0, 2.0]

@@ -3,7 +3,7 @@ the session settings pin."""
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +28,11 @@ def span_micros(value: Span) -> int:
     return span(value) // timedelta(microseconds=1)
 
 
+def instant(micros: int) -> datetime:
+    """The zone-less time of microseconds since 1970."""
+    return datetime(1970, 1, 1) + timedelta(microseconds=micros)
+
+
 def from_seconds(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds).cast("timestamp_ntz")
 

@@ -94,7 +94,12 @@ def aggregated(df: DataFrame, keys: Sequence[str], aggregate: Aggregate, held: i
     Rows are added up in the task they are in. Only partial values are exchanged and merged, one after
     another, so a key with a third of all rows sends one row for each task.
     """
-    result = T.StructType([*(df.schema[key] for key in keys), *_fields(aggregate.result)])
+    return finished(partials(df, keys, aggregate, held), keys, aggregate)
+
+
+def finished(values: DataFrame, keys: Sequence[str], aggregate: Aggregate) -> DataFrame:
+    """The keys and the result of every group from its partial values."""
+    result = T.StructType([*(values.schema[key] for key in keys), *_fields(aggregate.result)])
     schema, names = to_arrow_schema(result), _fields(aggregate.partial).fieldNames()
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +109,7 @@ def aggregated(df: DataFrame, keys: Sequence[str], aggregate: Aggregate, held: i
                 value = row if value is None else aggregate.merge(value, row)
         yield _batch([(*(part.as_py() for part in key), *aggregate.finish(value))], schema)
 
-    return partials(df, keys, aggregate, held).groupBy(*keys).applyInArrow(merge, result)
+    return values.groupBy(*keys).applyInArrow(merge, result)
 
 
 WindowFunction = Callable[[tuple, tuple, Iterator[pa.RecordBatch]], Iterator[dict[str, list[Any]]]]
@@ -125,16 +130,20 @@ def by_window(
     rows = df.withColumn("_w", window).select(
         *df.columns, F.col("_w.start").cast(kind).alias(START), F.col("_w.end").cast(kind).alias(END)
     )
-    whole = T.StructType([*(df.schema[key] for key in keys), T.StructField(START, kind), T.StructField(END, kind), *_fields(result)])
-    schema = to_arrow_schema(whole)
-    count = len(keys) + 2
+    return on_groups(rows, keys, function, result)
+
+
+def on_groups(rows: DataFrame, keys: Sequence[str], function: WindowFunction, result: str) -> DataFrame:
+    """`by_window` of rows that carry the bounds of their window."""
+    whole = T.StructType([*(rows.schema[name] for name in (*keys, START, END)), *_fields(result)])
+    schema, count = to_arrow_schema(whole), len(keys) + 2
 
     def call(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = tuple(part.as_py() for part in key)
         given = (batch.drop_columns([START, END]) for batch in batches)
         for columns in function(bounds[:-2], bounds[-2:], given):
-            rows = len(next(iter(columns.values())))
-            arrays = [pa.array([value] * rows, field.type) for value, field in zip(bounds, schema)]
+            size = len(next(iter(columns.values())))
+            arrays = [pa.array([value] * size, field.type) for value, field in zip(bounds, schema)]
             arrays += [pa.array(columns[field.name], field.type) for field in list(schema)[count:]]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 

@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
 from tidemark.operators import gating as batch_gating
 from tidemark.operators import patterns as batch_patterns
+from tidemark.operators.aggregates import END, START, Aggregate, WindowFunction, finished, on_groups
 from tidemark.sinks import streams
+from tidemark.streaming.aggregates import ROWS, VALUE
 from tidemark.streaming.gating import READING, SWITCH, UNTIL
 from tidemark.streaming.ordered import AT, WAITING
 from tidemark.streaming.patterns import FIRST
@@ -112,6 +114,28 @@ def gated(readings: DataFrame, checkpoint: str, key: str, ts: str = "ts", place:
     return batch_gating.passing(left, ends, key, ts)
 
 
+def _bounded(rows: DataFrame, keys: Sequence[str], *columns: Column | str) -> DataFrame:
+    """The keys and the window's bounds out of the state's key, and further columns."""
+    named = [F.col(f"key.{key}").alias(key) for key in keys]
+    bounds = [F.timestamp_micros(f"key.{own}").alias(name) for own, name in (("_start", START), ("_end", END))]
+    return rows.select(*named, *bounds, *columns)
+
+
+def aggregates(spark: SparkSession, checkpoint: str, keys: Sequence[str], aggregate: Aggregate, place: int = 0) -> DataFrame:
+    """The rest of `streaming.aggregates.aggregated`."""
+    left = _bounded(state(spark, checkpoint, VALUE, PROCESSOR, place), keys, "value.*")
+    return finished(left, [*keys, START, END], aggregate)
+
+
+def by_window(
+    stream: DataFrame, checkpoint: str, keys: Sequence[str], function: WindowFunction, result: str, place: int = 0
+) -> DataFrame:
+    """The rest of `streaming.aggregates.by_window` over `stream`, of which only the columns are used."""
+    rows = state(stream.sparkSession, checkpoint, ROWS, PROCESSOR, place)
+    left = _bounded(rows, keys, "list_element")
+    return on_groups(left.select(START, END, "list_element.*").select(*stream.columns, START, END), keys, function, result)
+
+
 def to_end(
     stream: DataFrame, left: Callable[[], DataFrame], write: streams.Write, checkpoint: str, mode: str = "append"
 ) -> None:
