@@ -14,7 +14,8 @@ Mask. `loss` holds start and length, in code points, of the texts of the window'
 turns are never in it, so each assistant text is learned once.
 
 Cases. Null text and role count as empty. Turns go by number (null first), then role, then text; repeated rows are
-separate turns. A conversation of a system turn alone is one window. A null conv_id is a conversation.
+separate turns. A turn of any length stays whole, in a window of its own if it has to. A conversation of a system turn alone is one
+window. A null conv_id is a conversation.
 Other columns are not read. An empty table gives no windows.
 
 Plan. One exchange by conversation serves the prefix sums, the windows and the history, a range frame over

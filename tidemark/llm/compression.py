@@ -12,7 +12,8 @@ it a probability that the label is 1. A text longer than `BLOCK` is compressed i
 dictionary bears on all of it and memory is bounded.
 
 Cases. Null and empty texts have d = 0. With no label, or one label only, there are no dictionaries; the score is the
-share of label 1, or 0.5 without labels. Repeated rows are scored alike. Labels without a text
+share of label 1, or 0.5 without labels. Repeated rows are scored alike. Rows that tie for the sample go by identifier, then text.
+A text of any length is compressed whole, in blocks of 64 KB. Labels without a text
 and null labels are not used. Other columns are not read. An empty table gives no rows.
 """
 

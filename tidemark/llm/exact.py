@@ -12,8 +12,8 @@ are then broadcast (some 16 MB); beyond that texts meet them in a shuffled join.
 of any size sends one text per task. Digests under which texts differ are grouped anew by the whole text.
 
 Cases. A null text counts as empty; empty texts form a group. A null identifier loses to any other. Of
-rows that agree in length and identifier, one stays. Other columns are not read, and
-`kept_rows` hands them on unchanged. An empty table gives no rows.
+rows that agree in length and identifier, one stays. A text of any length is one value, digested and compared whole.
+Other columns are not read, and `kept_rows` hands them on unchanged. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ the ranks documents are taken while the half of each still fits into the words t
 take, so a sample is fixed in size but for half a document. Reruns agree.
 
 Cases. A null text has no words and is taken 0 words. Ties in rank go by identifier, then size; equal rows are
-interchangeable. Null sources are one source. A source without words has target 0. Empty table: no rows.
+interchangeable. A text of any length is counted whole. Null sources are one source. A source without words has target 0. Empty table: no rows.
 `mixed` reads only the columns named.
 
 Plan. Ranks fall into bins by their logarithm, 512 to a unit. It is logistic for each p, its density at most 1/4, so about

@@ -16,7 +16,8 @@ task holds two blocks and no link is lost. Components are found in rounds over t
 The pipeline's stage (`kept_rows`) keeps one row of each component, with these shingles and this distance.
 
 Cases. Null and empty texts have fingerprint 0, linked like any other. A null identifier is no component's name unless
-all its members are null. Repeated rows are linked to each other. Other columns are not read. An empty table: no rows.
+all its members are null. Repeated rows are linked to each other. A text of any length is fingerprinted whole; a bit that
+just half of its shingles have is 0. Other columns are not read. An empty table: no rows.
 """
 
 from __future__ import annotations
