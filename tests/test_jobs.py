@@ -21,6 +21,7 @@ def finished(query):
 
 
 def test_login_failures(replay, drain):
+    # The login and order events that the jobs are known by.
     rows = [(1, f"192.168.0.{i}", "fail", second(i)) for i in (1, 2, 3)] + [(2, "192.168.10.10", "success", second(4))]
     end = [(-1, "", "end", END)]
     got = drain(jobs.login_failures(replay([rows[:2], rows[2:], end, end], schemas.LOGIN_EVENT)))

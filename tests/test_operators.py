@@ -137,6 +137,7 @@ def seconds(*rows):
 
 
 def test_login_example(spark):
+    # The login events that the job is known by.
     rows = seconds((1, "192.168.0.1", "fail", 0), (1, "192.168.0.2", "fail", 1), (1, "192.168.0.3", "fail", 2), (2, "192.168.10.10", "success", 3))
     df = spark.createDataFrame(rows, "id bigint, user_id bigint, ip string, kind string, ts timestamp_ntz")
     got = patterns.pairs(df, "user_id", "ts", ["id"], kind("fail"), kind("fail"), "2 seconds")

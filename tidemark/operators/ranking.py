@@ -59,6 +59,7 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[Column], out:
 
 # The wording of the reports.
 RULE = "====================================\n"
+STAMP_LABEL = "TimeStamp: "
 TIME_LABEL = "时间: "
 ITEM_LINE = "No%d:  商品ID=%d  浏览量=%d  windowEnd=%d\n"
 URL_LINE = "No%d:  URL=%s  流量=%d"
@@ -78,7 +79,7 @@ def hot_items_text(window_end: Column, rows: Column) -> Column:
     """The report of one window from its rows (rank, item_id, view_count) in order."""
     end = times.to_millis(window_end)
     return F.concat(
-        F.lit(RULE + "TimeStamp: "),
+        F.lit(RULE + STAMP_LABEL),
         end.cast("string"),
         F.lit("\n" + TIME_LABEL),
         times.timestamp_text(window_end),

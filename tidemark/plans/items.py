@@ -80,15 +80,14 @@ SQL = {
     "hot_item_counts": _COUNTS + "\nSELECT item_id, window_end, view_count FROM counts",
     "hot_items_top3": _TOP + "\nSELECT item_id, window_end, view_count, rank FROM ranked WHERE rank <= 3",
     "hot_items_report": _TOP
-    + """
+    + f"""
 SELECT window_end,
-  '====================================' || chr(10)
-  || 'TimeStamp: ' || epoch_ms(window_end) || chr(10)
-  || '时间: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
-  || string_agg('No' || rank || ':  商品ID=' || item_id || '  浏览量=' || view_count
-       || '  windowEnd=' || epoch_ms(window_end) || chr(10), '' ORDER BY rank)
-  || '====================================' || chr(10) || chr(10) AS report
-FROM ranked WHERE rank <= 3 GROUP BY window_end""",
+  '{ranking.RULE.strip()}' || chr(10)
+  || '{ranking.STAMP_LABEL}' || epoch_ms(window_end) || chr(10)
+  || '{ranking.TIME_LABEL}' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10)
+  || string_agg(printf('{ranking.ITEM_LINE.strip()}', rank, item_id, view_count, epoch_ms(window_end)) || chr(10), '' ORDER BY rank)
+  || '{ranking.RULE.strip()}' || chr(10) || chr(10) AS report
+FROM ranked WHERE rank <= {TOP} GROUP BY window_end""",
     "csv_parse": """
 SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
   CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS INTEGER) AS category_id,

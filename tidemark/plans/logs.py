@@ -96,13 +96,12 @@ SQL = {
     "url_traffic": _TRAFFIC + "\nSELECT url, window_start, window_end, view_count FROM traffic",
     "url_traffic_ranked": _RANKED + "\nSELECT url, window_start, window_end, view_count, rank FROM ranked",
     "url_traffic_report": _RANKED
-    + """
-SELECT window_start, CAST(rank + 1 AS BIGINT) AS line_no,
-  'No' || rank || ':  URL=' || url || '  流量=' || view_count AS line FROM ranked
+    + f"""
+SELECT window_start, CAST(rank + 1 AS BIGINT) AS line_no, printf('{ranking.URL_LINE}', rank, url, view_count) AS line FROM ranked
 UNION ALL
-SELECT DISTINCT window_start, CAST(0 AS BIGINT), '====================================' FROM ranked
+SELECT DISTINCT window_start, CAST(0 AS BIGINT), '{ranking.RULE.strip()}' FROM ranked
 UNION ALL
-SELECT DISTINCT window_start, CAST(1 AS BIGINT), '时间: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' FROM ranked
+SELECT DISTINCT window_start, CAST(1 AS BIGINT), '{ranking.TIME_LABEL}' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' FROM ranked
 UNION ALL
-SELECT window_start, CAST(max(rank) + 2 AS BIGINT), '====================================' FROM ranked GROUP BY window_start""",
+SELECT window_start, CAST(max(rank) + 2 AS BIGINT), '{ranking.RULE.strip()}' FROM ranked GROUP BY window_start""",
 }
