@@ -44,6 +44,8 @@ HEAD, HEAD_BYTES, ADD, KEEP = 1 << 18, 64, 0.1, 0.9
 NEAR_CONTEXTS, NEAR_ENTRIES = 1 << 19, 1 << 21
 #: Tokens that are counted at once, and partial counts that are held in a task.
 ROWS, HELD = 500_000, 1_000_000
+#: Bytes of text whose tokens are taken at once.
+SLICE = 700_000
 #: The end as a value; no word is empty.
 END, SEED = "", 42
 ODD, TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
@@ -148,7 +150,7 @@ def followers(training: DataFrame, contexts: Broadcast, symbols: Broadcast, leng
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, usual = contexts.value, symbols.value
         raw, held = [], []
-        for table in slices(batches):
+        for table in slices(batches, limit=SLICE):
             _, place, _, codes, hashes = tokens(table)
             ids = hashes[codes]
             *_, (at, state) = states(ids, place, length)
@@ -354,7 +356,7 @@ def scored(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (known, times), near = head.value, tree.value
         base = np.append(np.log10(times + ADD) - whole, 0.0)
-        for table in slices(batches):
+        for table in slices(batches, limit=SLICE):
             owner, place, distinct, codes, hashes = tokens(table)
             at, size, ids = places(distinct, known)[codes], table.num_rows, hashes[codes]
             gain, open_, joined = np.zeros(len(ids)), np.ones(len(ids), bool), np.zeros(len(ids), bool)
