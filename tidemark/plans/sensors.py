@@ -44,10 +44,11 @@ def fold_mean(keys: tuple, bounds: tuple, batches: Iterator[pa.RecordBatch]) ->
 
 
 def sensor_avg_folded(spark: SparkSession, folder: str) -> DataFrame:
-    """`sensor_avg_hourly` by a function that gets each sensor's window as a whole."""
-    celsius = _readings(spark, folder).withColumn("temperature", readings.celsius(F.col("temperature")))
-    means = aggregates.by_window(celsius, ["id"], "ts", "1 hour", fold_mean, "temperature double")
-    return means.select("id", F.col("window_end").alias("ts"), F.round("temperature", 6).alias("temperature"))
+    """The mean temperature of each kind of event and hour, by a function that gets each window as a whole."""
+    events = tables.load(spark, folder, "events")
+    celsius = events.select("event_type", "ts", readings.celsius(F.col("value")).alias("temperature"))
+    means = aggregates.by_window(celsius, ["event_type"], "ts", "1 hour", fold_mean, "temperature double")
+    return means.select("event_type", F.col("window_end").alias("ts"), F.round("temperature", 6).alias("temperature"))
 
 
 class GeometricMean(aggregates.Aggregate):
@@ -153,7 +154,7 @@ WITH gated AS (
 SQL = {
     "sensor_avg": _MEAN.format(size="1 SECOND"),
     "sensor_avg_hourly": _MEAN.format(size="1 HOUR"),
-    "sensor_avg_folded": _MEAN.format(size="1 HOUR"),
+    "sensor_avg_folded": _MEAN.format(size="1 HOUR").replace("user_id AS id", "event_type"),
     "geometric_means": """
 SELECT event_type, round(exp(avg(ln(value)) FILTER (value > 0)), 6) AS mean FROM events GROUP BY event_type""",
     "late_events": """
