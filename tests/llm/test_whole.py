@@ -1,5 +1,7 @@
 """The whole job: what the operators' own final checks would report is found."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm.common import prose, table
 
@@ -119,3 +121,34 @@ def test_repeated_items_long_texts_and_several_blocks(spark, monkeypatch):
     long = prose(1, semantic.SPAN - 10, 4000)
     texts = {1: f"{long} {items[7]} {prose(2, 50, 4000)} {items[1009]} {prose(3, semantic.SPAN, 4000)} {items[500]}", 2: items[3], 3: None}
     assert found(spark, texts, items) == {(1, 7), (1, 2000), (1, 1009), (1, 2001), (1, 500), (2, 3)}
+
+
+@pytest.mark.parametrize("use", [semantic.matched])
+def test_the_space_is_fitted_on_every_distinct_passage(spark, monkeypatch, use):
+    """70,000 distinct passages, one of them 500 times more: each counts, and counts once."""
+    docs = spark.range(70_500).selectExpr("id doc_id", "concat('w', if(id < 70000, id, 7), ' common') text")
+    seen, count = [], semantic.document_frequencies
+    monkeypatch.setattr(semantic, "document_frequencies", lambda rows_: seen.append(count(rows_)) or seen[-1])
+    use(docs, spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string"))
+    ids = semantic.hashed(pa.array(["common"], pa.large_string()))[0]
+    (df, whole), = seen
+    assert whole == 70_000 and df[ids[0] & (semantic.FEATURES - 1)] == 70_000
+
+
+def test_the_sketch_is_the_product_over_all_passages(spark):
+    texts = {k: prose(k, size, 400) for k, size in enumerate([1, 7, 8, 9, 63, 64, 65, 128, 300, 1000])} | {10: None, 11: ""}
+    hashes = semantic.hashed_rows(spark.createDataFrame([*texts.items()], "doc_id long, text string"))
+    rows_ = semantic.distinct_passages(hashes)
+    plain = set()
+    for r in hashes.collect():
+        ids = np.frombuffer(r.ids, np.uint32)
+        plain |= {tuple(ids[at : at + semantic.PASSAGE] & (semantic.FEATURES - 1)) for at in range(0, len(ids), semantic.PASSAGE)}
+    assert sorted(tuple(np.frombuffer(r.features, np.uint16)) for r in rows_.collect()) == sorted(plain)
+    x = np.zeros((len(plain), semantic.FEATURES))
+    for k, part in enumerate(plain):
+        np.add.at(x[k], list(part), 1)
+    df, whole = semantic.document_frequencies(rows_)
+    assert whole == len(plain) and (df == (x > 0).sum(axis=0)).all()
+    weights, omega = np.log((1 + whole) / (1 + df)), np.random.default_rng(3).standard_normal((semantic.FEATURES, 9))
+    want = (weights[:, None] * x.T) @ ((x * weights) @ omega)
+    assert np.allclose(semantic.sketch(rows_, weights, omega), want, rtol=1e-4, atol=1e-2)
