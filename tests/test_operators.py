@@ -8,7 +8,7 @@ from conftest import on
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import gating, patterns, ranking, running, windows
+from tidemark.operators import gating, patterns, ranking, running, windows, words
 
 START = datetime(2024, 1, 1)
 SCHEMA = "id bigint, key bigint, kind string, ts timestamp_ntz"
@@ -197,3 +197,21 @@ def test_gate_against_brute_force(spark, options):
         i for i, (k, t) in enumerate(readings) if any(s == k and at <= t < at + d for s, at, d in switches)
     ]
     assert gate(spark, readings, switches, **options) == want
+
+
+@pytest.mark.parametrize("often", [0, 3, 1_000])
+def test_only_frequent_words_are_counted_by_block(spark, monkeypatch, often):
+    monkeypatch.setattr(words, "OFTEN", often)
+    monkeypatch.setattr(words, "FREQUENT", 2)
+    rows = [(at, word) for at in range(60) for word in ["the", "of" if at % 3 else "a", f"w{at}", None]]
+    df = spark.createDataFrame(rows, "at long, word string").repartition(5)
+    assert words.frequent(df) == (["the", "of"] if often < 40 else [])
+    got = words.running_counts(df, ("at",), F.col("at"), (4, 3))
+    seen, want = {}, []
+    for at, word in rows:
+        if word is not None:
+            seen[word] = seen.get(word, 0) + 1
+            want.append((word, at, seen[word]))
+    assert got.columns == ["word", "at", "running"] and sorted(map(tuple, got.collect())) == sorted(want)
+    text = got._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert ("SortMergeJoin" in text) == (often < 40)  # no blocks, so no totals to join, where no word is frequent

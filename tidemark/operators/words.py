@@ -12,6 +12,8 @@ from tidemark.operators import running
 
 # Fixed value: words up to this length are counted, longer ones are routed aside.
 MAX_LENGTH = 5
+# A running count is cut into blocks for the most frequent words, so many at most, that occur more often than this.
+FREQUENT, OFTEN = 10_000, 1_000_000
 
 
 def words(lines: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -51,9 +53,24 @@ def running_counts(
     """Each occurrence with the count of its word so far, in `order`.
 
     Frequent words are in every block of lines, so their rows must not meet in one task: give a
-    `position` along the order and block `widths`, see `running.running`.
+    `position` along the order and block `widths`, see `running.running`. They are counted first, in a job of its
+    own; any other word has at most `OFTEN` rows or a share of 1 / `FREQUENT`, and its order is one block.
     """
-    return running.running(words, ["word"], order, F.lit(1), out, running.COUNT, position, widths)
+    if not widths:
+        return running.running(words, ["word"], order, F.lit(1), out, running.COUNT)
+    often, columns = frequent(words), ["word", *(name for name in words.columns if name != "word"), out]
+    if not often:
+        return running.running(words, ["word"], order, F.lit(1), out, running.COUNT).select(columns)
+    marks = words.sparkSession.createDataFrame([(word, True) for word in often], "word string, _often boolean")
+    marked = words.join(F.broadcast(marks), "word", "left").select(*words.columns, "_often")
+    place = F.when(F.col("_often"), position).otherwise(F.lit(0))
+    return running.running(marked, ["word"], order, F.lit(1), out, running.COUNT, place, widths).select(columns)
+
+
+def frequent(words: DataFrame) -> list[str]:
+    """The most frequent words, `FREQUENT` at most, of those with more than `OFTEN` occurrences."""
+    often = word_counts(words).where((F.col("n") > OFTEN) & F.col("word").isNotNull())
+    return [row.word for row in often.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()]
 
 
 def short(column: str = "word", limit: int = MAX_LENGTH) -> Column:
