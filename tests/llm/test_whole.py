@@ -123,7 +123,7 @@ def test_repeated_items_long_texts_and_several_blocks(spark, monkeypatch):
     assert found(spark, texts, items) == {(1, 7), (1, 2000), (1, 1009), (1, 2001), (1, 500), (2, 3)}
 
 
-@pytest.mark.parametrize("use", [semantic.matched])
+@pytest.mark.parametrize("use", [semantic.matched, semantic.kept_rows])
 def test_the_space_is_fitted_on_every_distinct_passage(spark, monkeypatch, use):
     """70,000 distinct passages, one of them 500 times more: each counts, and counts once."""
     docs = spark.range(70_500).selectExpr("id doc_id", "concat('w', if(id < 70000, id, 7), ' common') text")
