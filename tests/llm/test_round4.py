@@ -1,12 +1,15 @@
 """The language model's tables: what a task holds at once, counts by block, and words that share a hash."""
 
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm.common import prose
 
 from tidemark.llm import bitmaps, suffix_tree
+from tidemark.llm.shared import noting
 
 
 def test_tables_are_written_in_small_batches(spark):
@@ -48,3 +51,23 @@ def test_words_that_share_a_hash_are_told_apart():
     assert suffix_tree.placed(distinct, hashes, known, np.array([2, 5, 9], np.uint64)).tolist() == [1, -1, 2, -1, -1]
     none = suffix_tree.placed(distinct, hashes, known.slice(0, 0), np.empty(0, np.uint64))
     assert none.tolist() == [-1] * 5
+
+
+def test_scoring_by_the_tables_keeps_little(spark, monkeypatch):
+    """Nothing of the tree broadcast, in several rounds: the scores of a whole broadcast, and no files but the tree's and the scores."""
+    monkeypatch.setattr(suffix_tree, "ROUND", 30_000)
+    texts = [(k if k % 9 else None, prose(k % 150, 300, 12)) for k in range(200)] + [(1, None), (1, ""), (1, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    scores = {}
+    for near in (suffix_tree.NEAR_CONTEXTS, 0):
+        with noting() as paths:
+            out = suffix_tree.scored(docs, docs, context_least=40, entry_least=4, near_contexts=near)
+        got = out.collect()
+        scores[near] = sorted((r.doc_id or 0, r.n_tokens, r.n_known, r.base_score, r.score) for r in got)
+    tokens = sum(x[1] for x in scores[0])
+    assert len(scores[0]) == 203 and tokens > 60_000
+    for a, b in zip(*scores.values(), strict=True):
+        assert a == pytest.approx(b)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()  # the joins are done and their files deleted
+    names = [spark.read.parquet(path).columns for path in paths if Path(path.removeprefix("file:")).exists()]
+    assert sum("n_tokens" in x for x in names) >= 3 and not any("rest" in x and "n_tokens" in x for x in names)
