@@ -202,3 +202,14 @@ def test_words_have_their_hash():
     words_ = ["", *(chr(97 + k % 26) * (k % 40) + str(k) for k in range(3000)), *("é" * (k % 9) + "字" * (k % 4) + str(k) for k in range(3000))]
     for some in (pa.array(words_, pa.large_string()), pa.array(words_, pa.large_string()).slice(1000, 2500), pa.array(words_), pa.array([], pa.large_string())):
         assert semantic.xxh32(some).tolist() == [xxhash.xxh32_intdigest(x) for x in some.to_pylist()]
+
+
+def test_the_stage_retrieves_by_cosine(spark, monkeypatch):
+    """The pipeline's stage compares the windows too: nearly all leaks behind the rows that it drops are retrieved."""
+    items = {k: f"{prose(300 + k, 30, 4000)}. {prose(400 + k, 6, 4000)}." for k in range(20)}
+    texts = {k: f"{prose(500 + k, 80, 4000)} {items[k % 20] if k < 40 else ''} {prose(700 + k, 70, 4000)}" for k in range(90)}
+    seen, search = [], semantic.matched
+    monkeypatch.setattr(semantic, "matched", lambda *rows_: seen.append(search(*rows_)) or seen[-1])
+    kept = semantic.kept_rows(table(spark, [(i, t, "s") for i, t in texts.items()]), spark.createDataFrame([*items.items()], "item_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(40, 90)]
+    assert seen[0].where("retrieved").count() >= 36
